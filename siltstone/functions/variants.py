@@ -10,16 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WIDE_INTEGER = r"^DECIMAL\((19|[23]\d),0\)$"
-
-
-def field(payload: str, name: str) -> Column:
-    """The value at a top-level field: SQL NULL when missing, VOID variant when JSON null."""
-    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
-    return F.expr(f"try_variant_get(`{payload}`, '$[\"{quoted}\"]', 'variant')")
+_INTEGER = r"BIGINT|DECIMAL\((19|[23]\d),0\)"
+_NUMBER = r"BIGINT|DOUBLE|FLOAT|DECIMAL\(.*"
+_BOOLEAN = r"|BOOLEAN"
 
 
 def is_missing(value: Column) -> Column:
+    """SQL NULL (the field is absent) or a JSON null."""
     return value.isNull() | F.is_variant_null(value)
 
 
@@ -29,21 +26,15 @@ def type_matches(value: Column, kind: str, strict: bool = False) -> Column:
     Booleans pass the numeric kinds unless ``strict``: the declared checks treat a
     boolean as an integer.
     """
-    found = F.schema_of_variant(value)
-    boolean = F.lit(False) if strict else (found == "BOOLEAN")
-    integer = (found == "BIGINT") | found.rlike(WIDE_INTEGER)
-    if kind in ("string", "timestamp"):
-        return found == "STRING"
-    if kind == "long":
-        return integer | boolean
-    if kind == "decimal":
-        return integer | found.startswith("DECIMAL") | found.isin("DOUBLE", "FLOAT") | boolean
-    return F.lit(True)
+    boolean = "" if strict else _BOOLEAN
+    patterns = {"string": "STRING", "timestamp": "STRING", "long": _INTEGER + boolean, "decimal": _NUMBER + boolean}
+    if kind not in patterns:
+        return F.lit(True)
+    return F.schema_of_variant(value).rlike(f"^({patterns[kind]})$")
 
 
 def is_number(value: Column) -> Column:
-    found = F.schema_of_variant(value)
-    return found.isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | found.startswith("DECIMAL")
+    return F.schema_of_variant(value).rlike(f"^({_NUMBER}{_BOOLEAN})$")
 
 
 def as_double(value: Column) -> Column:

@@ -15,6 +15,7 @@ REASON = "_failure_reason"
 PAYLOAD = "payload"
 RECORD = "_record"
 MALFORMED = "malformed_json"
+_CORRUPT = "_corrupt_record"
 
 STORAGE = {"decimal": T.DoubleType(), "long": T.LongType()}
 
@@ -62,30 +63,42 @@ def load_contract(path: str) -> Contract:
 
 
 def _field_reason(f: Field, strict: bool) -> Column:
-    value = variants.field(RECORD, f.name)
+    value = F.col(RECORD)[f.name]
     missing = variants.is_missing(value)
     reason = F.when(missing, F.lit(f"null_violation:{f.name}") if f.required else F.lit(None).cast("string"))
     reason = reason.when(~variants.type_matches(value, f.kind, strict), F.lit(f"type_mismatch:{f.name}"))
     if f.minimum is not None:
-        low = variants.is_number(value) & (variants.as_double(value) < F.lit(float(f.minimum)))
+        low = variants.as_double(value) < F.lit(float(f.minimum))
+        if f.kind not in ("decimal", "long"):
+            low = variants.is_number(value) & low
         reason = reason.when(low, F.lit(f"constraint_violation:{f.name}"))
     return reason
 
 
+def _computed_once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add a column behind a generator, so that filters above do not repeat its expression."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def check(df: DataFrame, contract: Contract, payload: str = PAYLOAD, strict: bool = False) -> DataFrame:
     """Add the parsed record and the first failing rule of each JSON text in ``payload``.
 
     Fields are tried in contract order, within a field: null, type, minimum. Text that is
-    not a JSON object is kept with its own reason. No shuffle.
+    not a JSON object is kept with its own reason. Each text is parsed once, only the
+    declared fields are read, and there is no shuffle.
     """
-    parsed = df.withColumn(RECORD, F.try_parse_json(payload))
-    malformed = F.coalesce(~F.schema_of_variant(RECORD).startswith("OBJECT"), F.lit(True))
-    reasons = [_field_reason(f, strict) for f in contract.fields]
-    return parsed.withColumn(REASON, F.when(malformed, MALFORMED).otherwise(F.coalesce(*reasons)))
+    names = T.StructType([T.StructField(f.name, T.VariantType()) for f in contract.fields])
+    schema = names.add(_CORRUPT, T.StringType())
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    parsed = _computed_once(df, F.from_json(payload, schema, options), RECORD)
+    record = F.col(RECORD)
+    malformed = F.coalesce(record[_CORRUPT].isNotNull() | ~F.ltrim(payload).startswith("{"), F.lit(True))
+    first = F.coalesce(*[_field_reason(f, strict) for f in contract.fields])
+    return _computed_once(parsed, F.when(malformed, MALFORMED).otherwise(first), REASON)
 
 
 def typed_columns(contract: Contract) -> list[Column]:
-    return [variants.typed(variants.field(RECORD, f.name), f.kind).alias(f.name) for f in contract.fields]
+    return [variants.typed(F.col(RECORD)[f.name], f.kind).alias(f.name) for f in contract.fields]
 
 
 def split(checked: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:

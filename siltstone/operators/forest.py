@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,14 +38,21 @@ def mean_path(n: np.ndarray) -> np.ndarray:
 def training_sample(df: DataFrame, row_key: Sequence[str], trees: int, sample: int, seed: int) -> DataFrame:
     """Rows for each tree: a table-wide pool of ``trees * sample`` rows, then ``sample`` per tree.
 
-    The pool is a top-k by hash, so only a bounded number of rows ever reaches the trees.
+    The pool is a top-k by hash, so only a bounded number of rows ever reaches the trees. A tree
+    then takes the ``sample`` rows with the smallest hash of (row, tree); rows whose hash lies
+    far above that level are left out before the ranking.
     """
+    size = trees * sample
     draw = F.xxhash64(F.lit(seed), *row_key)
-    pool = df.withColumn("_draw", draw).orderBy("_draw", *row_key).limit(trees * sample)
-    dealt = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    order = F.xxhash64(F.col("_draw"), F.col("tree"))
-    rank = F.row_number().over(W.partitionBy("tree").orderBy(order, *row_key))
-    return dealt.withColumn("_rank", rank).where(F.col("_rank") <= sample).drop("_draw", "_rank")
+    pool = df.withColumn("_draw", draw).orderBy("_draw", *row_key).limit(size)
+    available = F.least(df.agg(F.count("*")).scalar(), F.lit(size))
+    dealt = pool.withColumn("_share", F.lit(2.0 * sample) / available).withColumn(
+        "tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
+    )
+    place = F.pmod(F.xxhash64("_draw", "tree"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    near = dealt.withColumn("_place", place).where(F.col("_place") <= F.col("_share"))
+    rank = F.row_number().over(W.partitionBy("tree").orderBy("_place", *row_key))
+    return near.withColumn("_rank", rank).where(F.col("_rank") <= sample).drop("_draw", "_share", "_place", "_rank")
 
 
 def fit(
@@ -133,8 +140,8 @@ def anomaly_scores(df: DataFrame, nodes: DataFrame, offset: DataFrame, features:
     return scored.withColumn("anomaly_score", F.col("raw_score") - offset.scalar()).drop("raw_score")
 
 
-def insights(scored: DataFrame, champion: DataFrame, generated_at, key: Sequence[str]) -> DataFrame:
-    """Flagged rows as insight records; without a registered champion there are none.
+def insights(scored: DataFrame, champion: DataFrame, generated_at: Column, key: Sequence[str]) -> DataFrame:
+    """Flagged rows (``ticker``, ``anomaly_score``) as insight records; without a registered champion there are none.
 
     ``champion`` holds the version of the champion alias in zero or one row. Ids are hashes
     of the content, so a replay writes the same ids.
@@ -146,5 +153,5 @@ def insights(scored: DataFrame, champion: DataFrame, generated_at, key: Sequence
         F.col("ticker").alias("source_ticker"),
         "anomaly_score",
         "model_version",
-        F.lit(generated_at).alias("generated_at"),
+        generated_at.alias("generated_at"),
     )

@@ -12,7 +12,7 @@ from siltstone.operators import contracts, documents, healing, retrieval
 from siltstone.plans.declared import CONTRACTS
 from siltstone.plans.queries import MIDPOINT, MONTH_END, moment, register, table
 from siltstone.plans.queries.ingest import CHECKED_SQL, checked_quotes
-from siltstone.session import work_path
+from siltstone.session import spread, work_path
 from siltstone.sources.lake import incremental
 
 CHUNKS_SQL = r"""
@@ -24,7 +24,7 @@ k AS (SELECT * FROM c WHERE regexp_matches(chunk_text, '\S'))
 
 def chunk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files whose bytes end in an invalid sequence, decoded and cut."""
-    files = table(spark, sf_dir, "documents").select(
+    files = spread(table(spark, sf_dir, "documents")).select(
         "doc_id", "lang", "source", F.concat(F.encode("text", "utf-8"), F.unhex(F.lit("FFFE"))).alias("content")
     )
     return documents.chunk(documents.decode(files).drop("content"))
@@ -69,7 +69,7 @@ def text_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def saved_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text index built once, saved and read back."""
     path = work_path(spark, "text-index")
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = spread(table(spark, sf_dir, "documents")).select(F.col("doc_id").alias("id"), "text")
     retrieval.text_index(docs).write.parquet(path)
     return spark.read.parquet(path)
 
@@ -246,7 +246,7 @@ def proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
     ending = F.lit("")
     for remainder, text in endings.items():
         ending = F.when(n % 11 == remainder, text).otherwise(ending)
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id",
         F.concat(F.lit("e"), "doc_id").alias("event_id"),
         F.lit("contract").alias("source_failure_type"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from siltstone.operators import contracts, keyed, quality
 from siltstone.plans.declared import CONTRACTS
 from siltstone.plans.queries import MIDPOINT, MONTH_END, moment, register, stamp, table
-from siltstone.session import work_path
+from siltstone.session import spread, work_path
 from siltstone.sources import changefeed, cursors, lake, landing, topics
 
 QUOTES = CONTRACTS["b3_quotes"]
@@ -51,7 +51,7 @@ WITH q AS (
 
 
 def checked_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contracts.check(raw_quotes(table(spark, sf_dir, "events")), QUOTES)
+    return contracts.check(raw_quotes(spread(table(spark, sf_dir, "events"))), QUOTES)
 
 
 @register(CHECKED_SQL + "SELECT event_id, reason AS failure_reason FROM q")
@@ -92,7 +92,7 @@ def bronze_and_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = checked_quotes(spark, sf_dir)
     day = F.date_format("ts", "yyyy-MM-dd")
     for _ in range(2):
-        lake.write_checked(checked, QUOTES, root, day, moment(MONTH_END), "2024-01")
+        lake.write_checked(checked, QUOTES, root, day, moment(MONTH_END), "2024-01", backfill=True)
     bronze = lake.read_bronze(spark, root, QUOTES).select(
         F.lit("bronze").alias("zone"), "ingestion_date", F.lit("accepted").alias("outcome"), "price"
     )

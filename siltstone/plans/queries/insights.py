@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.operators import costs, drift, features, forest, healing
 from siltstone.plans.queries import MIDPOINT, MONTH_END, moment, register, table
+from siltstone.session import cut_lineage
 
 LAST_MONTH = "2001-10-05 00:00:00"
 
@@ -255,10 +256,10 @@ def champion(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def isolation_forest_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forest fitted on the feature matrix and its anomalies as insight rows (no SQL twin: randomised trees)."""
-    matrix = feature_rows(spark, sf_dir)
+    matrix = cut_lineage(feature_rows(spark, sf_dir))  # read three times: training, offset, scoring
     names = list(features.FEATURES)
     nodes = forest.fit(matrix, names, ["row_index"])
     offset = forest.score_offset(matrix, nodes, names)
     scored = forest.anomaly_scores(matrix, nodes, offset, names)
-    rows = forest.insights(scored, champion(spark, sf_dir), MONTH_END, ["row_index"])
+    rows = forest.insights(scored, champion(spark, sf_dir), moment(MONTH_END), ["row_index"])
     return rows.withColumn("anomaly_score", F.round("anomaly_score", 6))

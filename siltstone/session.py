@@ -23,6 +23,7 @@ def build_session(app: str = "siltstone", cores: int | str = "*", shuffle_partit
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     if shuffle_partitions:
@@ -69,3 +70,13 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataF
     if df.limit(limit + 1).count() <= limit:
         return df.hint("broadcast")
     return df
+
+
+def spread(df: DataFrame, limit_bytes: int = 1 << 30) -> DataFrame:
+    """Deal the rows of a small input out over all cores before costly row-wise work.
+
+    A small table is often one file that one task would read and process alone. Inputs above
+    the limit already come in many splits and are left as they are: no shuffle at scale.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= limit_bytes else df

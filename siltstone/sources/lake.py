@@ -30,12 +30,19 @@ def dlq_path(root: str) -> str:
 
 
 def write_checked(
-    checked: DataFrame, contract: Contract, root: str, ingestion_date: Column, detected_at: Column, batch: str
+    checked: DataFrame,
+    contract: Contract,
+    root: str,
+    ingestion_date: Column,
+    detected_at: Column,
+    batch: str,
+    backfill: bool = False,
 ) -> None:
     """Append accepted rows to Bronze and refused rows to the dead letters in one pass and one commit.
 
     Bronze is partitioned by ingestion date, dead letters by source and ingestion date. An
-    empty batch creates nothing.
+    empty batch creates nothing. A day's batch is written without a shuffle; a ``backfill`` over
+    many days is first gathered by partition, which AQE splits again where a day is large.
     """
     accepted = F.col(REASON).isNull()
     rows = checked.select(
@@ -48,7 +55,8 @@ def write_checked(
         ingestion_date.cast("string").alias("ingestion_date"),
         F.lit(batch).alias("batch"),
     )
-    replace_partitions(rows, root, ["zone", "source", "ingestion_date", "batch"])
+    layout = ["zone", "source", "ingestion_date", "batch"]
+    replace_partitions(rows.hint("rebalance", *layout) if backfill else rows, root, layout)
 
 
 def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
