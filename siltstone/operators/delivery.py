@@ -119,9 +119,11 @@ def judge_events(
     joined = lookup_join(
         events, decisions.select("decision_id", "action_type", "expires_at"), ["decision_id"], ["event_id"]
     )
+    overlap = F.arrays_overlap("actor_groups", allowed_groups(policy, F.col("action_type")))
+    admitted = F.coalesce(overlap, F.lit(False))
     outcome = (
         F.when(~F.coalesce(F.col("verb").isin("approved", "rejected"), F.lit(False)), "unknown_verb")
-        .when(~F.arrays_overlap("actor_groups", allowed_groups(policy, F.col("action_type"))), "unauthorized")
+        .when(~admitted, "unauthorized")
         .when(F.col("expires_at") <= F.col("ts"), "expired")
         .when((F.col("verb") == "rejected") & (F.coalesce("reason", F.lit("")) == ""), "reason_required")
         .otherwise(F.col("verb"))

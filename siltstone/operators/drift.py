@@ -52,9 +52,11 @@ def ks_two_sample(
     totals = samples.groupBy("feature").agg(F.sum(1 - F.col("c")).alias("n_base"), F.sum("c").alias("n_current"))
     # One row per feature.
     weighted = counts.join(totals.hint("broadcast"), "feature")
-    step = F.coalesce(F.try_divide("b", "n_base"), F.lit(0.0)) - F.coalesce(F.try_divide("c", "n_current"), F.lit(0.0))
-    extremes = running_extremes(weighted.withColumn("step", step), "feature", "value", F.col("step"), partitions)
-    gap = F.greatest(F.abs("high"), F.abs("low"))
+    # Whole-number steps over the common denominator n_base * n_current add up exactly.
+    step = F.col("b").cast("double") * F.col("n_current") - F.col("c").cast("double") * F.col("n_base")
+    extremes = running_extremes(weighted, "feature", "value", step, partitions)
+    area = F.col("n_base").cast("double") * F.col("n_current")
+    gap = F.coalesce(F.try_divide(F.greatest(F.abs("high"), F.abs("low")), area), F.lit(0.0))
     enough = (F.col("n_base") >= 2) & (F.col("n_current") >= 2)
     return (
         totals.join(extremes, "feature")

@@ -22,7 +22,7 @@ _RESULT = (
     "application_id string, model_name string, alias string, status string, result_detail string, "
     "attempt_count bigint, version string"
 )
-_NO_VERSION = "\0"
+_NO_VERSION = "\x01"  # stands for "no version" in the moves
 
 
 def _net_moves(steps: Iterable[tuple[str, str]], moves: dict[str, set[str]]) -> None:

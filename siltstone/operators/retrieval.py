@@ -9,12 +9,13 @@ the corpus is scanned once per block and nothing is dropped.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,11 +97,9 @@ def _blocks(queries: DataFrame, weight: int, limit: int) -> list[DataFrame]:
     return [queries.where(block == b) for b in range(count)]
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+def _union(spark: SparkSession, schema: T.StructType, parts: Iterable[DataFrame | None]) -> DataFrame:
+    found = [part for part in parts if part is not None]
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
 
 
 def top_per_query(scored: DataFrame, k: int, score: str = "score") -> DataFrame:
@@ -116,17 +115,19 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = CANDIDATES, bloc
     schema = _result_schema(queries, corpus)
     total = queries.count()
 
-    def search(part: DataFrame) -> DataFrame:
+    def search(part: DataFrame) -> DataFrame | None:
         table = part.orderBy("query_id").toArrow()  # one block of queries
         names = table["query_id"].to_pylist()
         query_type = table.schema.field("query_id").type
-        wanted = np.array(table["vector"].to_pylist(), dtype=float).reshape(len(names), -1)
+        if not names:
+            return None
+        wanted = np.array(table["vector"].to_pylist(), dtype=float)
         wanted /= np.maximum(np.linalg.norm(wanted, axis=1, keepdims=True), 1e-300)
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best, id_type = _Best(len(names), k, positive=False), None
             for batch in batches:
-                if not batch.num_rows or not names:
+                if not batch.num_rows:
                     continue
                 id_type = batch.schema.field("id").type
                 rows = batch.column("vector").flatten().to_numpy(zero_copy_only=False).astype(float)
@@ -141,7 +142,8 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = CANDIDATES, bloc
 
         return corpus.mapInArrow(score, schema)
 
-    return top_per_query(_union([search(p) for p in _blocks(queries, total, block)]), k)
+    found = _union(corpus.sparkSession, schema, map(search, _blocks(queries, total, block)))
+    return top_per_query(found, k)
 
 
 def text_index(docs: DataFrame) -> DataFrame:
@@ -161,11 +163,13 @@ def bm25_topk(queries: DataFrame, index: DataFrame, k: int = CANDIDATES, block:
     size = index.agg(F.count("*").alias("n"), F.coalesce(F.avg("length"), F.lit(0.0)).alias("mean")).first()
     schema = _result_schema(queries, index)
 
-    def search(part: DataFrame) -> DataFrame:
+    def search(part: DataFrame) -> DataFrame | None:
         table = part.orderBy("query_id").toArrow()  # one block of query terms
         names = table["query_id"].to_pylist()
         query_type = table.schema.field("query_id").type
         per_query = table["terms"].to_pylist()
+        if not names:
+            return None
         vocabulary = pa.array(sorted({t for ts in per_query for t in ts}), pa.string())
         at = {t: i for i, t in enumerate(vocabulary.to_pylist())}
         asks = [np.array([at[t] for t in ts], dtype=np.int64) for ts in per_query]
@@ -204,7 +208,7 @@ def bm25_topk(queries: DataFrame, index: DataFrame, k: int = CANDIDATES, block:
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best, id_type = _Best(len(names), k, positive=True), None
             for batch in batches:
-                if not batch.num_rows or not names or not at:
+                if not batch.num_rows or not at:
                     continue
                 id_type = batch.schema.field("id").type
                 for piece in slices(batch):
@@ -219,7 +223,8 @@ def bm25_topk(queries: DataFrame, index: DataFrame, k: int = CANDIDATES, block:
 
         return index.select("id", "length", "tokens").mapInArrow(score, schema)
 
-    return top_per_query(_union([search(p) for p in _blocks(terms, weight, block)]), k)
+    found = _union(index.sparkSession, schema, map(search, _blocks(terms, weight, block)))
+    return top_per_query(found, k)
 
 
 def fuse(a: DataFrame, b: DataFrame, k: int = CANDIDATES) -> DataFrame:
