@@ -24,6 +24,11 @@ def test_latest_by_key_fails_on_null(spark, row):
         keyed.latest_by_key(df, ["id"], "at", ["arrival"]).collect()
 
 
+def test_checks_ignore_rows_filtered_before(spark):
+    df = spark.createDataFrame([("a", 1, 0), (None, 2, 1)], "id string, v int, n int").where("v < 2")
+    assert keyed.latest_by_key(df, ["id"], "v", ["n"]).count() == 1
+
+
 def test_merge_by_key(spark, rows):
     old = spark.createDataFrame([("a", 1), ("b", 5)], "id string, value int")
     new = spark.createDataFrame([("a", 2, 0), ("a", 3, 1), ("c", 9, 2)], "id string, value int, n int")
