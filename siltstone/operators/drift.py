@@ -49,8 +49,8 @@ def ks_two_sample(
     counts = samples.groupBy("feature", "value").agg(
         F.sum(1 - F.col("c")).alias("b"), F.sum("c").alias("c")
     )
-    totals = samples.groupBy("feature").agg(F.sum(1 - F.col("c")).alias("n_base"), F.sum("c").alias("n_current"))
-    # One row per feature.
+    # One row per feature, from the same exchange as the counts.
+    totals = counts.groupBy("feature").agg(F.sum("b").alias("n_base"), F.sum("c").alias("n_current"))
     weighted = counts.join(totals.hint("broadcast"), "feature")
     # Whole-number steps over the common denominator n_base * n_current add up exactly.
     step = F.col("b").cast("double") * F.col("n_current") - F.col("c").cast("double") * F.col("n_base")

@@ -51,7 +51,7 @@ def build_features(
     (lost_at, opportunity_id). The ticker travels along so that an insight can name it. When
     one side is empty the result keeps one row, filled with zeros on that side.
     """
-    left = zscore(price_change(quotes, tiebreak, partitions), "volume", "volume_zscore")
+    left = price_change(zscore(quotes, "volume", "volume_zscore"), tiebreak, partitions)
     left = with_row_index(
         left.select("quote_timestamp", "ticker", *tiebreak, "price_change_pct", "volume_zscore"),
         ["quote_timestamp", "ticker", *tiebreak],

@@ -61,3 +61,19 @@ def lookup_join(
     if hinted is not lookup:
         return big.join(hinted, list(keys), how)
     return salted_join(big, lookup, keys, salt_by, how)
+
+
+def left_join_many(
+    left: DataFrame, many: DataFrame, keys: Sequence[str], salt_by: Sequence[str], limit: int = BROADCAST_ROW_LIMIT
+) -> DataFrame:
+    """``left`` outer-joined to a side that may hold very many rows for one key.
+
+    Spark can split a skewed left side of an outer join but not a skewed right one, so the
+    matches are taken from the large side and the left rows without any are added.
+    """
+    matched = lookup_join(many, left, keys, salt_by, "inner", limit)
+    bare = left.join(many.select(*keys).distinct(), list(keys), "left_anti")
+    extra = [c for c in many.columns if c not in keys]
+    empty = bare.select("*", *[F.lit(None).cast(many.schema[c].dataType).alias(c) for c in extra])
+    order = [*left.columns, *extra]
+    return matched.select(*order).unionByName(empty.select(*order))

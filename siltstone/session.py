@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Largest side, in rows, that an operator marks for broadcast after counting it.
 BROADCAST_ROW_LIMIT = 200_000
+# Planned bytes that count as one row when the size is judged without a job.
+BYTES_PER_ROW = 64
 
 
 def build_session(app: str = "siltstone", cores: int | str = "*", shuffle_partitions: int | None = None) -> SparkSession:
@@ -65,9 +67,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate: file sizes for scans, upper bounds for what is computed from them."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast hint only after counting at most ``limit + 1`` rows; otherwise a shuffle join."""
-    if df.limit(limit + 1).count() <= limit:
+    """Broadcast hint for a side whose size is checked, otherwise the frame as it is.
+
+    A side made from little data is known to be small without a job; any other is counted,
+    at most up to ``limit + 1`` rows.
+    """
+    if planned_bytes(df) <= limit * BYTES_PER_ROW or df.limit(limit + 1).count() <= limit:
         return df.hint("broadcast")
     return df
 
@@ -78,5 +89,5 @@ def spread(df: DataFrame, limit_bytes: int = 1 << 30) -> DataFrame:
     A small table is often one file that one task would read and process alone. Inputs above
     the limit already come in many splits and are left as they are: no shuffle at scale.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= limit_bytes else df
+    small = planned_bytes(df) <= limit_bytes
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if small else df

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from siltstone.operators import keyed, metrics, quality
 from siltstone.operators.ordering import lag_by_key, running_extremes, with_row_index
-from siltstone.operators.skew import hot_keys, salted_join
+from siltstone.operators.skew import hot_keys, left_join_many, lookup_join, salted_join
 from siltstone.plans.declared import PRODUCTS
 
 
@@ -147,3 +147,13 @@ def test_salted_join_equals_plain_join(spark, rows):
     for how in ("inner", "left"):
         salted = salted_join(big, lookup, ["k"], ["i"], how, share=0.1)
         assert rows(salted, "i", "name") == rows(big.join(lookup, "k", how), "i", "name")
+
+
+def test_outer_join_to_a_hot_side(spark, rows):
+    many = spark.createDataFrame(hot_rows(), "k string, at int, v double, i int")
+    left = many.select("k").distinct().unionByName(spark.createDataFrame([("none",)], "k string")).withColumn("n", F.length("k"))
+    expected = rows(left.join(many, "k", "left"), "k", "n", "i")
+    for limit in (1000, 3):  # broadcast, then salted
+        assert rows(left_join_many(left, many, ["k"], ["i"], limit), "k", "n", "i") == expected
+    again = lookup_join(many, left, ["k"], ["i"], "left", limit=3)
+    assert rows(again, "k", "n", "i") == rows(many.join(left, "k", "left"), "k", "n", "i")
