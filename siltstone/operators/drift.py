@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.operators.healing import event_log
 from siltstone.operators.ordering import running_extremes
 
 P_VALUE = 0.05  # fixed value: a feature has drifted below this p-value
@@ -106,3 +107,13 @@ def promotion_candidates(aliases: DataFrame, comparison: DataFrame) -> DataFrame
     )
     known = [F.when(note.isNull(), F.col(m)).alias(m) for m in measures]
     return joined.select("model_name", "champion_version", "challenger_version", note.alias("note"), *known)
+
+
+def promotion_events(candidates: DataFrame, source: Column, detected_at: Column) -> DataFrame:
+    """Candidates as ``model_promotion`` events whose detail carries the versions and the comparison."""
+    measures = [c for c in candidates.columns if c not in ("model_name", "champion_version", "challenger_version", "note")]
+    comparison = F.when(F.col("note").isNotNull(), F.to_json(F.struct("note"))).otherwise(F.to_json(F.struct(*measures)))
+    detail = F.concat(
+        F.lit("model="), "model_name", F.lit(" challenger_version="), "challenger_version", F.lit(" comparison="), comparison
+    )
+    return event_log(candidates, source, "model_promotion", detail, detected_at)

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import gates, guardrails
 
+# The diagnosis fields, the failure type and the source of prepared content.
 DIAGNOSIS = "root_cause string, target_file string, diff string, explanation string"
 CONTENT = "content_generation"
+CONTENT_SOURCE = "dag_generate_content"
 # ISO 8601 in UTC; the fraction is left out when it is zero.
 _SECONDS, _MICROS = "yyyy-MM-dd'T'HH:mm:ss'+00:00'", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 
@@ -122,7 +124,7 @@ def score_gate(
     )
     judged = drafts.withColumn("_passed", passed)
     queued = event_log(
-        judged.where("_passed"), F.lit("dag_generate_content"), CONTENT, payload, generated_at
+        judged.where("_passed"), F.lit(CONTENT_SOURCE), CONTENT, payload, generated_at
     )
     rejected = judged.where(~F.col("_passed")).select(
         F.sha2(F.concat_ws("|", F.lit(CONTENT), F.col("insight_id").cast("string")), 256).alias("event_id"),

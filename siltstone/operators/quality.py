@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.functions.guards import require_rows
 from siltstone.operators.contracts import Contract
 from siltstone.operators.keyed import latest_by_key
 
@@ -112,8 +111,3 @@ def staleness(df: DataFrame, source: str, timestamp: str, limit: str, now: Colum
         "newest",
         F.coalesce(F.col("newest") < now - iso_interval(limit), F.lit(True)).alias("stale"),
     )
-
-
-def reject_rows(df: DataFrame, condition: Column, message: str) -> DataFrame:
-    """Strict form of a declared test: the query fails on the first row that breaks it."""
-    return require_rows(df, condition, message)

@@ -217,20 +217,24 @@ def shadow_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.shadow_comparison(shadow_scores(spark, sf_dir)).select(*[F.round(m, 6).alias(m) for m in MEASURES])
 
 
-@register(
+CANDIDATES_SQL = (
     SCORES_SQL
     + f""", a AS (SELECT DISTINCT source AS model_name, CAST(substr(source, 4) AS BIGINT) AS n FROM documents),
 v AS (SELECT model_name, CASE WHEN n % 5 > 0 THEN n END AS champion_version, CASE WHEN n % 3 > 0 THEN n + n % 2 END AS challenger_version FROM a),
-c AS (SELECT model_name, {MEASURES_SQL} FROM s GROUP BY 1)
-SELECT model_name, champion_version, challenger_version,
+c AS (SELECT model_name, {MEASURES_SQL} FROM s GROUP BY 1),
+pc AS (SELECT model_name, champion_version, challenger_version,
   CASE WHEN champion_version IS NULL THEN 'no champion yet' WHEN champion_anomaly_rate IS NULL THEN 'no current data' END AS note,
   CASE WHEN champion_version IS NOT NULL THEN champion_anomaly_rate END AS champion_anomaly_rate,
   CASE WHEN champion_version IS NOT NULL THEN challenger_anomaly_rate END AS challenger_anomaly_rate,
   CASE WHEN champion_version IS NOT NULL THEN champion_mean_score END AS champion_mean_score,
   CASE WHEN champion_version IS NOT NULL THEN challenger_mean_score END AS challenger_mean_score
 FROM v LEFT JOIN c USING (model_name)
-WHERE challenger_version IS NOT NULL AND challenger_version IS DISTINCT FROM champion_version"""
+WHERE challenger_version IS NOT NULL AND challenger_version IS DISTINCT FROM champion_version)
+"""
 )
+
+
+@register(CANDIDATES_SQL + "SELECT * FROM pc")
 def promotion_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources as models whose alias versions follow from their number."""
     models = table(spark, sf_dir, "documents").select(F.col("source").alias("model_name")).distinct()
@@ -248,6 +252,17 @@ def promotion_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    CANDIDATES_SQL
+    + """SELECT 'model_promotion' AS source_failure_type, 'model=' || model_name || ' challenger_version=' || challenger_version || ' comparison='
+  || CASE WHEN note IS NOT NULL THEN '{"note":"' || note || '"}' ELSE '{"champion_anomaly_rate":' || champion_anomaly_rate || ',"challenger_anomaly_rate":'
+  || challenger_anomaly_rate || ',"champion_mean_score":' || champion_mean_score || ',"challenger_mean_score":' || challenger_mean_score || '}' END AS detail FROM pc"""
+)
+def promotion_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drift.promotion_events(promotion_candidates(spark, sf_dir), F.lit("insights"), moment(MONTH_END))
+    return found.select("source_failure_type", "detail")
+
+
 def champion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest model version: one per part size."""
     return table(spark, sf_dir, "part").agg(F.max("p_size").alias("version"))

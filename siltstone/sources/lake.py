@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.operators.contracts import PAYLOAD, REASON, Contract, reason_counts, typed_columns
+from siltstone.operators.contracts import PAYLOAD, REASON, Contract, typed_columns
 from siltstone.operators.keyed import upsert
 from siltstone.sources.landing import path_exists
 
@@ -126,11 +126,6 @@ def merge_into(
     replace_partitions(merged.hint("rebalance", BUCKET), path, [BUCKET])
 
 
-def append_new(source: DataFrame, path: str, batch: str) -> None:
-    """Append-only Silver sources: one partition per promoted batch."""
-    append_log(source, path, batch)
-
-
 def publish(df: DataFrame, table: str, path: str, comment: str, properties: Mapping[str, str]) -> None:
     """Replace a product as an external table with its contract properties."""
     spark = df.sparkSession
@@ -138,8 +133,3 @@ def publish(df: DataFrame, table: str, path: str, comment: str, properties: Mapp
     entries = {"quality": "gold", **properties, "comment": comment}
     listed = ", ".join("'{}' = '{}'".format(k, v.replace("'", "''")) for k, v in entries.items())
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
-
-
-def run_summary(checked: DataFrame) -> DataFrame:
-    """Rows per outcome of a checked batch."""
-    return reason_counts(checked)
