@@ -12,14 +12,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siltstone.session import cut_lineage
+from siltstone.session import cut_lineage, planned_bytes
 
 # monotonically_increasing_id() holds the partition in the upper bits and the row below bit 33.
 _ROW_BITS = 33
+_SLICE_BYTES = 64 << 20
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
-    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """The session's shuffle partitions, fewer for an input that is known to be small."""
+    if partitions:
+        return partitions
+    spark = df.sparkSession
+    needed = max(spark.sparkContext.defaultParallelism, planned_bytes(df) // _SLICE_BYTES)
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), needed)
 
 
 def sorted_partitions(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:

@@ -16,6 +16,8 @@ from siltstone.streaming.decisions import decision_stream
 from siltstone.streaming.ingest import append_stream, ingest_stream
 from siltstone.streaming.outbox import first_requests
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event table as a file stream with event time as TIMESTAMP."""
@@ -94,8 +96,12 @@ WHERE w.outcome IS NOT NULL OR expires_at <= watermark"""
 )
 def stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The decision state machine on a stream; timers expire the decisions nobody settled."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     opened = decisions(spark, sf_dir).withColumn("expires_at", F.col("expires_at").cast("timestamp"))
     settled = decision_stream(verbs(event_stream(spark, sf_dir)), opened, POLICY)
-    rows = finished(settled, "decisions")
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)  # state with timers needs RocksDB
+    try:
+        rows = finished(settled, "decisions")
+    finally:
+        spark.conf.set(STATE_STORE, before)
     return rows.select("decision_id", "status", "actor_id", "reason", stamp(F.col("decided_at")).alias("decided_at"))
