@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltstone.functions.guards import require_rows
+from siltstone.session import BROADCAST_ROW_LIMIT, is_small
 
 
 def _all_present(keys: Sequence[str]) -> Column:
@@ -38,24 +39,31 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], watermark: str, arrival: S
     return latest_per_key(checked, keys, watermark, [F.col(a).asc() for a in arrival])
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def upsert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int = BROADCAST_ROW_LIMIT
+) -> DataFrame:
     """Target after a keyed merge: matching rows replaced, the others inserted.
 
     The source is cut to its first row per key in ``order``. NULL keys match nothing, so such
-    rows pass through. One full outer join keeps it to one exchange per side: the join reuses
-    the partitioning that the cut has already made.
+    rows pass through. A small source is broadcast and the target is not shuffled; otherwise
+    one full outer join keeps it to one exchange per side, reusing the partitioning that the
+    cut has already made.
     """
     present = _all_present(keys)
     columns = target.columns
-    fresh = first_per_key(source.where(present), keys, order).select(*keys, F.struct(*columns).alias("_new"))
-    joined = target.where(present).join(fresh, list(keys), "full_outer")
+    fresh = first_per_key(source.where(present), keys, order)
+    held = target.where(present)
+    unkeyed = target.where(~present).unionByName(source.where(~present).select(*columns))
+    if is_small(source, limit):
+        kept = held.join(fresh.select(*keys).hint("broadcast"), list(keys), "left_anti").select(*columns)
+        return kept.unionByName(fresh.select(*columns)).unionByName(unkeyed)
+    joined = held.join(fresh.select(*keys, F.struct(*columns).alias("_new")), list(keys), "full_outer")
     merged = joined.select(
         *[
             F.col(c) if c in keys else F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
             for c in columns
         ]
     )
-    unkeyed = target.where(~present).unionByName(source.where(~present).select(*columns))
     return merged.unionByName(unkeyed)
 
 
@@ -65,7 +73,15 @@ def merge_by_key(existing: DataFrame, incoming: DataFrame, key: str, arrival: Se
     return upsert(existing, checked, [key], [F.col(a).desc() for a in arrival])
 
 
-def insert_new(existing: DataFrame, incoming: DataFrame, key: str, arrival: Sequence[str]) -> DataFrame:
-    """Idempotent insert: the incoming rows whose key is new, first arrival per key, and none of the others."""
+def insert_new(
+    existing: DataFrame, incoming: DataFrame, key: str, arrival: Sequence[str], limit: int = BROADCAST_ROW_LIMIT
+) -> DataFrame:
+    """Idempotent insert: the incoming rows whose key is new, first arrival per key, and none of the others.
+
+    For a small batch the existing keys are first cut to those it names, without shuffling them.
+    """
     first = first_per_key(incoming, [key], [F.col(a).asc() for a in arrival])
-    return first.join(existing.select(key), key, "left_anti")
+    known = existing.select(key)
+    if is_small(incoming, limit):
+        known = known.join(first.select(key).hint("broadcast"), key, "left_semi")
+    return first.join(known, key, "left_anti")

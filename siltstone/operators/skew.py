@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.session import BROADCAST_ROW_LIMIT, broadcast_if_small
+from siltstone.session import BROADCAST_ROW_LIMIT, is_small
 
 HOT_SHARE = 1.0 / 1000
 
@@ -57,9 +57,8 @@ def lookup_join(
     limit: int = BROADCAST_ROW_LIMIT,
 ) -> DataFrame:
     """Broadcast the lookup side when counting shows it is small, else the salted join."""
-    hinted = broadcast_if_small(lookup, limit)
-    if hinted is not lookup:
-        return big.join(hinted, list(keys), how)
+    if is_small(lookup, limit):
+        return big.join(lookup.hint("broadcast"), list(keys), how)
     return salted_join(big, lookup, keys, salt_by, how)
 
 

@@ -72,15 +72,18 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast hint for a side whose size is checked, otherwise the frame as it is.
+def is_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
+    """Whether a side may be broadcast.
 
     A side made from little data is known to be small without a job; any other is counted,
     at most up to ``limit + 1`` rows.
     """
-    if planned_bytes(df) <= limit * BYTES_PER_ROW or df.limit(limit + 1).count() <= limit:
-        return df.hint("broadcast")
-    return df
+    return planned_bytes(df) <= limit * BYTES_PER_ROW or df.limit(limit + 1).count() <= limit
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Broadcast hint for a side whose size is checked, otherwise the frame as it is."""
+    return df.hint("broadcast") if is_small(df, limit) else df
 
 
 def spread(df: DataFrame, limit_bytes: int = 1 << 30) -> DataFrame:

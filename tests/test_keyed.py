@@ -38,17 +38,19 @@ def test_merge_by_key(spark, rows):
         keyed.merge_by_key(old, bad, "id", ["n"]).collect()
 
 
-def test_upsert_null_keys_never_match(spark, rows):
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_upsert_null_keys_never_match(spark, rows, limit):
     old = spark.createDataFrame([("a", 1), (None, 7)], "id string, value int")
     new = spark.createDataFrame([(None, 8), (None, 9), ("a", None)], "id string, value int")
-    merged = keyed.upsert(old, new, ["id"], [F.col("value").desc()])
+    merged = keyed.upsert(old, new, ["id"], [F.col("value").desc()], limit)
     assert rows(merged) == sorted([("a", None), (None, 7), (None, 8), (None, 9)], key=repr)
 
 
-def test_insert_new_is_idempotent(spark, rows):
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_insert_new_is_idempotent(spark, rows, limit):
     outbox = spark.createDataFrame([("k1",)], "key string")
     incoming = spark.createDataFrame([("k1", 0), ("k2", 1), ("k2", 2)], "key string, n int")
-    fresh = keyed.insert_new(outbox, incoming, "key", ["n"])
+    fresh = keyed.insert_new(outbox, incoming, "key", ["n"], limit)
     assert rows(fresh) == [("k2", 1)]
     assert keyed.insert_new(outbox.unionByName(fresh.select("key")), incoming, "key", ["n"]).count() == 0
 
