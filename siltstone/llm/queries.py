@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.llm import licenses
 from siltstone.llm.byte_bpe import decode, encode
+from siltstone.llm.chosen_path import jaccard_join
 from siltstone.llm.decontaminate import decontaminate
 from siltstone.llm.exact_dedup import exact_dedup
+from siltstone.llm.html_consensus import extract_pages
 from siltstone.llm.line_dedup import line_dedup
+from siltstone.llm.maxent_lm import language_model
 from siltstone.llm.token_counts import token_counts
 from siltstone.llm.toxicity import toxicity
 
@@ -27,6 +31,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files below their source: 'src0/1/2/345' is document 12345, so short ids lie near the top."""
+    digits = F.col("doc_id").cast("string")
+    named = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.substring(digits, 1, 1), F.substring(digits, 2, 1), F.expr("substring(cast(doc_id AS string), 3)"))
+    docs = read(spark, sf_dir, "documents").withColumn("path", F.regexp_replace(named, "/+$", ""))
+    return licenses.scan(docs, "doc_id", "path")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(BYTE_RANKS)
     encoded = encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -38,11 +50,23 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_maxent_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model(read(spark, sf_dir, "documents"))
+
+
+def op5_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit", "n_merged")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(read(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -59,10 +83,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontamination, op3_byte_bpe, op6_token_counts, op8_exact_dedup, op9_line_dedup, op10_toxicity)
+    for f in (
+        op1_decontamination,
+        op2_license_scan,
+        op3_byte_bpe,
+        op4_maxent_scoring,
+        op5_html_consensus,
+        op6_token_counts,
+        op7_jaccard_join,
+        op8_exact_dedup,
+        op9_line_dedup,
+        op10_toxicity,
+    )
 }
 
 SQL: dict[str, str] = {
+    "op2_license_scan": licenses.scan_sql(
+        """(SELECT *, regexp_replace(concat_ws('/', coalesce(source, 'none'), substr(cast(doc_id AS varchar), 1, 1),
+                substr(cast(doc_id AS varchar), 2, 1), substr(cast(doc_id AS varchar), 3)), '/+$', '') AS path FROM documents)""",
+        "doc_id",
+        "path",
+    ),
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
