@@ -35,14 +35,16 @@ from siltstone.llm.common import id_and_text, stored
 
 END = "\n"  # no word holds a blank
 TABLE_WORDS = 1 << 17
-MODEL_WORDS = 4096
-CLASSES = 32
+MODEL_WORDS = 2048
+CLASSES = 24
 KINDS = 16
 ROUNDS = 2
-_CONTEXT_ROWS = 8192
-_PAIR_ROWS = 16384
-_INNER_ROWS = 256
-_BATCH = 4096
+# Input splits that one update task passes over, so that updates are few beside the text they come from.
+_SPLITS_PER_UPDATE = 4
+_CONTEXT_ROWS = 4096
+_PAIR_ROWS = 8192
+_INNER_ROWS = 128
+_BATCH = 8192
 _BLOCK_ROWS = 1024
 _FLUSH = 200_000
 _RATE = 0.25
@@ -293,25 +295,25 @@ def train_model(train: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
                     at = slice(block, block + _BLOCK_ROWS)
                     touched = (seen[at] > 0).astype(np.float32)
                     if touched.any():
-                        out.append((name, block, salt, (new[at] - old[at]).tobytes(), touched.tobytes()))
-            yield pd.DataFrame(out, columns=["name", "block", "salt", "change", "touched"])
+                        out.append((name, block, salt, False, (new[at] - old[at]).astype(np.float16).tobytes(), touched.astype(np.float16).tobytes()))
+            yield pd.DataFrame(out, columns=["name", "block", "salt", "summed", "change", "touched"])
 
         def add(frame: pd.DataFrame) -> pd.DataFrame:
             def total(column: str) -> bytes:
-                out = np.frombuffer(frame[column].iloc[0], np.float32).copy()
-                for more in frame[column].iloc[1:]:
-                    out += np.frombuffer(more, np.float32)
-                return out.tobytes()
+                kind = np.float32 if frame["summed"].iloc[0] else np.float16  # sums have more digits than changes
+                return np.sum([np.frombuffer(x, kind) for x in frame[column]], axis=0, dtype=np.float32).tobytes()
 
             first = frame.iloc[0]
             return pd.DataFrame(
-                [(first["name"], first["block"], first["salt"], total("change"), total("touched"))],
-                columns=["name", "block", "salt", "change", "touched"],
+                [(first["name"], first["block"], 0, True, total("change"), total("touched"))],
+                columns=["name", "block", "salt", "summed", "change", "touched"],
             )
 
-        schema = "name string, block long, salt long, change binary, touched binary"
-        changes = train.where(F.pmod("spot", F.lit(rounds)) == fold).select("text").mapInPandas(update, schema)
-        some = changes.groupBy("name", "block", "salt").applyInPandas(add, schema).withColumn("salt", F.lit(0).cast("long"))
+        schema = "name string, block long, salt long, summed boolean, change binary, touched binary"
+        own = train.where(F.pmod("spot", F.lit(rounds)) == fold).select("text")
+        tasks = max(1, own.rdd.getNumPartitions() // _SPLITS_PER_UPDATE)
+        changes = own.coalesce(tasks).mapInPandas(update, schema)
+        some = changes.groupBy("name", "block", "salt").applyInPandas(add, schema)
         for r in some.groupBy("name", "block", "salt").applyInPandas(add, schema).collect():  # as large as the model
             weights = dict(parts)[r["name"]]
             touched = np.frombuffer(r["touched"], np.float32)
