@@ -193,7 +193,8 @@ def word_counts(df: DataFrame, pattern: str, text: str = "text") -> DataFrame:
                 if len(seen) >= _FLUSH:
                     yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
                     seen.clear()
-        yield pd.DataFrame({"word": list(seen), "n": list(seen.values())}, columns=["word", "n"]).astype({"n": "int64"})
+        if seen:
+            yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
 
     texts = id_and_text(df, text, text).select("text")
     return texts.mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))

@@ -85,7 +85,8 @@ def word_kinds(train: DataFrame) -> DataFrame:
                 yield rows()
                 seen.clear()
                 size = 0
-        yield rows().astype({"kind": "int64", "n": "int64"})
+        if seen:
+            yield rows()
 
     made = train.select("text").mapInPandas(run, "word string, kind long, n long")
     return made.groupBy("word", "kind").agg(F.sum("n").alias("n"))
