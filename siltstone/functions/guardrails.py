@@ -33,7 +33,7 @@ DANGEROUS_PATTERNS = (
 
 
 def path_violation(path: Column, prefixes: Sequence[str] = ALLOWED_PATH_PREFIXES) -> Column:
-    """``invalid_path:`` / ``out_of_scope_path:`` reason, or NULL for an allowed path.
+    """``invalid_path:`` / ``out_of_scope_path:`` reason, or NULL for an allowed path; a NULL path is invalid.
 
     Empty and ``.`` segments are dropped before the prefix test, as POSIX paths do.
     """
@@ -43,13 +43,13 @@ def path_violation(path: Column, prefixes: Sequence[str] = ALLOWED_PATH_PREFIXES
     allowed = F.lit(False)
     for prefix in prefixes:
         allowed = allowed | clean.startswith(prefix)
-    return F.when(escapes, F.concat(F.lit("invalid_path:"), path)).when(
+    return F.when(path.isNull(), "invalid_path:").when(escapes, F.concat(F.lit("invalid_path:"), path)).when(
         ~allowed, F.concat(F.lit("out_of_scope_path:"), path)
     )
 
 
 def content_violation(text: Column, patterns: Sequence[tuple[str, bool]] = DANGEROUS_PATTERNS) -> Column:
-    """``dangerous_pattern:`` reason of the first rule that matches anywhere in the text.
+    """``dangerous_pattern:`` reason of the first rule that matches anywhere in the text; a NULL text is refused.
 
     Unicode classes are switched on so that blanks and word borders follow the same rules
     as the declared patterns.
@@ -58,7 +58,7 @@ def content_violation(text: Column, patterns: Sequence[tuple[str, bool]] = DANGE
         F.when(F.rlike(text, F.lit(f"(?U{'i' if fold else ''})" + p)), F.lit(f"dangerous_pattern:{p}"))
         for p, fold in patterns
     ]
-    return F.coalesce(*checks)
+    return F.coalesce(F.when(text.isNull(), "missing_content"), *checks)
 
 
 def verdict(

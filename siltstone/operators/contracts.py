@@ -92,7 +92,7 @@ def check(df: DataFrame, contract: Contract, payload: str = PAYLOAD, strict: boo
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     parsed = _computed_once(df, F.from_json(payload, schema, options), RECORD)
     record = F.col(RECORD)
-    malformed = F.coalesce(record[_CORRUPT].isNotNull() | ~F.ltrim(payload).startswith("{"), F.lit(True))
+    malformed = F.coalesce(record[_CORRUPT].isNotNull() | ~F.rlike(payload, F.lit(r"^\s*\{")), F.lit(True))
     first = F.coalesce(*[_field_reason(f, strict) for f in contract.fields])
     return _computed_once(parsed, F.when(malformed, MALFORMED).otherwise(first), REASON)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.guards import required
@@ -45,13 +45,23 @@ def metric(df: DataFrame, spec: Metric) -> DataFrame:
     return df.groupBy(*spec.grain).agg(F.expr(spec.formula).alias(spec.metric_id))
 
 
-def metric_tests(values: DataFrame, spec: Metric) -> DataFrame:
-    """One row per declared value test of a metric: how many grain rows break it."""
+def metric_tests(values: DataFrame, spec: Metric, now: Column | None = None, watermark: str = "source_watermark") -> DataFrame:
+    """One row per declared test of a metric: how many grain rows break it.
+
+    ``freshness_15m`` compares the rows' watermark with ``now``; a declared test that is not known fails.
+    """
     broken = {
         "not_null": F.col(spec.metric_id).isNull(),
         "non_negative": F.col(spec.metric_id) < 0,
     }
-    tests = [t for t in spec.tests if t in broken]
+    if "freshness_15m" in spec.tests:
+        if now is None:
+            raise ValueError(f"{spec.metric_id}: freshness_15m needs the time")
+        late = F.col(watermark) < now - F.expr("INTERVAL 15 MINUTES")
+        broken["freshness_15m"] = F.coalesce(late, F.lit(True))
+    if unknown := set(spec.tests) - broken.keys():
+        raise ValueError(f"{spec.metric_id}: unknown tests {sorted(unknown)}")
+    tests = list(spec.tests)
     counts = values.agg(
         F.array(
             *[F.struct(F.lit(t).alias("test"), F.count_if(broken[t]).alias("violations")) for t in tests]

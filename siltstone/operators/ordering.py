@@ -17,15 +17,19 @@ from siltstone.session import cut_lineage, planned_bytes
 # monotonically_increasing_id() holds the partition in the upper bits and the row below bit 33.
 _ROW_BITS = 33
 _SLICE_BYTES = 64 << 20
+# Catalyst plans with such sizes where it knows none.
+_UNKNOWN_BYTES = 1 << 50
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
-    """The session's shuffle partitions, fewer for an input that is known to be small."""
+    """As many partitions as the input's size asks for, and at least one per core."""
     if partitions:
         return partitions
     spark = df.sparkSession
-    needed = max(spark.sparkContext.defaultParallelism, planned_bytes(df) // _SLICE_BYTES)
-    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), needed)
+    planned = planned_bytes(df)
+    if planned >= _UNKNOWN_BYTES:  # a frame without statistics, or a product of such: the session's number
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(spark.sparkContext.defaultParallelism, planned // _SLICE_BYTES)
 
 
 def sorted_partitions(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:

@@ -29,14 +29,19 @@ LADDER = (
 UNVALIDATED = "Not Validated"
 
 
+def _unless(rule: Column) -> Column:
+    """Broken when the rule is false or, for a NULL field, unknown."""
+    return ~F.coalesce(rule, F.lit(False))
+
+
 def evidence_violations(reason_codes: Sequence[str] = REASON_CODES) -> Column:
     """All broken row rules of an evidence record, in a fixed order; an empty array means valid."""
     passed = F.col("status") == "PASS"
     reason = F.col("reason_code")
     rules = {
-        "invalid_capability_id": ~F.col("capability_id").rlike(CAPABILITY_ID),
-        "unknown_gate": ~F.col("gate").isin(*GATES),
-        "unknown_status": ~F.col("status").isin(*STATUSES),
+        "invalid_capability_id": _unless(F.col("capability_id").rlike(CAPABILITY_ID)),
+        "unknown_gate": _unless(F.col("gate").isin(*GATES)),
+        "unknown_status": _unless(F.col("status").isin(*STATUSES)),
         "pass_with_reason": passed & reason.isNotNull(),
         "reason_required": ~passed & (F.coalesce(reason, F.lit("")) == ""),
         "unknown_reason_code": reason.isNotNull() & ~reason.isin(*reason_codes),

@@ -20,6 +20,7 @@ from siltstone.session import cut_lineage
 from siltstone.sources import cursors, lake, landing
 
 EVENTS = "event_id string, source_failure_type string, source string, detail string, detected_at timestamp"
+PROMOTED = "promoted_at timestamp, source string, ingestion_date string, batch string"
 
 
 @dataclass(frozen=True)
@@ -38,6 +39,10 @@ class Lake:
     def bronze(self) -> str:
         return f"{self.root}/bronze"
 
+    @property
+    def promoted(self) -> str:
+        return f"{self.root}/control/promoted"
+
     @property
     def cursors(self) -> str:
         return f"{self.root}/control/cursors"
@@ -73,14 +78,21 @@ def _advance(spark: SparkSession, place: Lake, name: str, newest: DataFrame, now
 
 
 def promote_to_silver(spark: SparkSession, place: Lake, source: str, now: Column, buckets: int = 64) -> None:
-    """New Bronze days into Silver: merged sources by key, append-only sources batch by batch.
+    """New Bronze batches into Silver: merged sources by key, append-only sources batch by batch.
 
-    The cursor's own day is read again, since later batches may have joined it; merging rows
-    twice and replacing a batch's partition by itself change nothing.
+    Batches are known by name, so one for an older day that arrives late is promoted as well. Days
+    from the cursor on are read again, since a batch may have been replaced; merging rows twice and
+    replacing a batch's partition by itself change nothing.
     """
     since = _position(spark, place, f"bronze/{source}")[:10]
     contract = CONTRACTS[source]
-    rows = lake.read_bronze(spark, place.bronze, contract).where(F.col("ingestion_date") >= since)
+    bronze = lake.read_bronze(spark, place.bronze, contract)
+    named = ["ingestion_date", "batch"]
+    done = lake.read_table(spark, place.promoted, PROMOTED).where(F.col("source") == source)
+    # one row per batch that is new or may have been replaced
+    unread = bronze.select(*named).distinct().join(done, named, "left_anti")
+    fresh = cut_lineage(unread.unionByName(bronze.where(F.col("ingestion_date") >= since).select(*named)).distinct())
+    rows = bronze.join(fresh, named)
     columns = contract.schema().fieldNames()
     if source in SILVER_KEYS:
         newest = [F.col("ingestion_date").desc(), F.col("batch").desc(), F.col("payload").desc()]
@@ -92,6 +104,9 @@ def promote_to_silver(spark: SparkSession, place: Lake, source: str, now: Column
         lake.replace_partitions(rows.select(*columns, "ingestion_date", "batch"), place.silver(source), ["ingestion_date", "batch"])
     else:
         raise ValueError(f"no Silver rule for source {source}")
+    lake.replace_partitions(
+        fresh.select(F.lit(source).alias("source"), *named, now.cast("timestamp").alias("promoted_at")), place.promoted, ["source", *named]
+    )
     _advance(spark, place, f"bronze/{source}", cursors.high_water(rows, "ingestion_date"), now)
 
 

@@ -178,8 +178,8 @@ def outlier_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gate_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Labelled documents as drafts with derived scores."""
-    labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    """Documents as drafts with derived scores; one without labels has none and fails the gate."""
+    labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     drafts = labelled.select(
         F.concat(F.lit("i"), "doc_id").alias("insight_id"),
         F.col("text").alias("draft"),
@@ -192,7 +192,7 @@ def gate_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 GATE_SQL = """
 WITH g AS (SELECT 'i' || doc_id AS insight_id, text, CAST(0.5 + quality * 0.25 + (n_chars % 5) / 10.0 AS DOUBLE) AS f,
-  CAST(0.75 - toxic * 0.25 AS DOUBLE) AS r FROM documents JOIN labels USING (doc_id))
+  CAST(0.75 - toxic * 0.25 AS DOUBLE) AS r FROM documents LEFT JOIN labels USING (doc_id))
 """
 
 
@@ -209,7 +209,7 @@ def gated_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepared.select("target_file", "explanation", "diff")
 
 
-@register(GATE_SQL + "SELECT 'low_ragas_score' AS rejection_reason, text AS proposed_diff FROM g WHERE NOT (f >= 0.7 AND r >= 0.7)")
+@register(GATE_SQL + "SELECT 'low_ragas_score' AS rejection_reason, text AS proposed_diff FROM g WHERE NOT coalesce(f >= 0.7 AND r >= 0.7, false)")
 def gate_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rejected = gate_split(spark, sf_dir)
     return rejected.select("rejection_reason", "proposed_diff")

@@ -39,7 +39,7 @@ def read_drop(spark: SparkSession, base: str, ds: str, strict: bool = False, fol
     path = f"{base}/{folder.format(ds=ds)}"
     if not path_exists(spark, path):
         return spark.createDataFrame([], f"{PAYLOAD} string")
-    lines = spark.read.text(path).select(F.col("value").alias(PAYLOAD)).where(F.trim(PAYLOAD) != "")
+    lines = spark.read.text(path).select(F.col("value").alias(PAYLOAD)).where(F.col(PAYLOAD).rlike(r"\S"))
     if strict:
         return lines.where(F.parse_json(PAYLOAD).isNotNull())
     return lines

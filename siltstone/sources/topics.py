@@ -9,14 +9,10 @@ from pyspark.sql import functions as F
 
 from siltstone.operators.contracts import PAYLOAD
 
-# Fixed value: messages taken per micro-batch.
-MAX_MESSAGES = 500
-
-
 def topic_stream(
-    spark: SparkSession, servers: str, topic: str, max_messages: int = MAX_MESSAGES, options: Mapping[str, str] | None = None
+    spark: SparkSession, servers: str, topic: str, max_messages: int | None = None, options: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """A topic as a stream of JSON texts. Offsets advance only with the query's checkpoint.
+    """A topic as a stream of JSON texts, all that is there per batch unless ``max_messages`` is given. Offsets advance only with the query's checkpoint.
 
     Needs the Kafka connector on the classpath.
     """
@@ -25,9 +21,10 @@ def topic_stream(
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .option("maxOffsetsPerTrigger", max_messages)
         .options(**(options or {}))
     )
+    if max_messages:
+        reader = reader.option("maxOffsetsPerTrigger", max_messages)
     return reader.load().select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias(PAYLOAD))
 
 
@@ -36,7 +33,7 @@ def file_stream(spark: SparkSession, path: str, files_per_batch: int | None = No
     reader = spark.readStream.schema("value string").format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path).select(F.col("value").alias(PAYLOAD)).where(F.trim(PAYLOAD) != "")
+    return reader.load(path).select(F.col("value").alias(PAYLOAD)).where(F.col(PAYLOAD).rlike(r"\S"))
 
 
 def normalise_quotes(raw: DataFrame) -> DataFrame:

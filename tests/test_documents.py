@@ -188,3 +188,11 @@ def test_redaction(spark):
     row = spark.createDataFrame([(json.dumps(value),), (None,)], "j string").select(redact_json("j")).collect()
     masked = {"a": [{"Token": "[REDACTED]"}, "Bearer [REDACTED]", ["Bearer [REDACTED]"], 3], "user-email": "[REDACTED]", "ok": None}
     assert json.loads(row[0][0]) == masked and row[1][0] is None
+
+
+def test_guardrails_refuse_missing_fields(spark):
+    from siltstone.functions.guardrails import verdict
+
+    rows = spark.createDataFrame([(None, "x"), ("pipelines/a.py", None), (None, None)], "path string, diff string")
+    assert [r[0] for r in rows.select(verdict(rows["path"], rows["diff"])).collect()][::2] == ["invalid_path:"] * 2
+    assert rows.where("path IS NOT NULL").select(verdict(rows["path"], rows["diff"])).first()[0] is not None

@@ -38,6 +38,16 @@ def test_drop_to_failure_feed(spark, tmp_path, rows):
     assert jobs.collect_failures(spark, place).count() == 0
 
 
+def test_a_late_older_day_reaches_silver(spark, tmp_path, rows):
+    place, base, source = jobs.Lake(str(tmp_path / "lake")), tmp_path / "raw", "crm_lost_sales"
+    drop(base, "2026-08-01", ("o1", 1.0))
+    drop(base, "2026-07-30", ("o2", 2.0))
+    for ds in ("2026-08-01", "2026-07-30"):
+        jobs.ingest_drop(spark, place, source, str(base), ds, at("2026-08-02 10:00:00"))
+        jobs.promote_to_silver(spark, place, source, at("2026-08-02 11:00:00"), buckets=4)
+    assert rows(spark.read.parquet(place.silver(source)), "opportunity_id") == [("o1",), ("o2",)]
+
+
 def test_append_only_promotion_is_idempotent(spark, tmp_path):
     place, base = jobs.Lake(str(tmp_path / "lake")), tmp_path / "raw"
     folder = base / "ds=2026-07-31"
