@@ -166,7 +166,8 @@ def _texts_of(docs: DataFrame, digests: DataFrame) -> DataFrame:
     salted = digests.select("sha256", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     rows = docs.select("doc_id", "text", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"))
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    return rows.join(salted, ["sha256", "salt"], "left_semi").groupBy("sha256", "text").agg(
+    # merged at every size, so that the cost does not jump where the digests outgrow a broadcast
+    return rows.join(salted.hint("merge"), ["sha256", "salt"], "left_semi").groupBy("sha256", "text").agg(
         F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
     )
 
