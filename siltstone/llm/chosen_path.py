@@ -252,7 +252,8 @@ def verify(cells: DataFrame, sets: DataFrame, docs: DataFrame, size: int, thresh
     counted = stored(cells.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "cell-sizes")
     members = cells.join(counted, "root").select("node", F.col("root").alias("cell"), "n")
     named = stored(members.join(sets.select("node", "set_key", "rep_id"), "node"), "cell-members")
-    texts = docs.join(named, docs["doc_id"] == named["rep_id"]).select("cell", "n", "set_key", "text")
+    # merged at every size, so that the cost does not jump where the members outgrow a broadcast
+    texts = docs.join(named.hint("merge"), docs["doc_id"] == named["rep_id"]).select("cell", "n", "set_key", "text")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = texts.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
