@@ -22,7 +22,7 @@ def iso_utc(ts: Column) -> Column:
     return F.when(whole, F.date_format(ts, _SECONDS)).otherwise(F.date_format(ts, _MICROS))
 
 
-def contract_failures(dlq: DataFrame) -> DataFrame:
+def contract_failures(dlq: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Dead-letter rows as failure events; rows of one source and instant share an event id."""
     return dlq.select(
         F.concat(F.lit("dlq-"), "source", F.lit("-"), iso_utc(F.col("detected_at"))).alias("event_id"),
@@ -31,10 +31,11 @@ def contract_failures(dlq: DataFrame) -> DataFrame:
         F.coalesce("_failure_reason", F.lit("unknown")).alias("detail"),
         F.concat(F.lit("contracts/"), "source", F.lit(".contract.yaml")).alias("code_context"),
         iso_utc(F.col("detected_at")).alias("detected_at"),
+        *keep,
     )
 
 
-def execution_failures(events: DataFrame) -> DataFrame:
+def execution_failures(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return events.select(
         "event_id",
         "source_failure_type",
@@ -42,12 +43,13 @@ def execution_failures(events: DataFrame) -> DataFrame:
         "detail",
         F.lit("").alias("code_context"),
         iso_utc(F.col("detected_at")).alias("detected_at"),
+        *keep,
     )
 
 
-def failure_feed(dlq: DataFrame, events: DataFrame) -> DataFrame:
-    """Both kinds of failure in one feed."""
-    return contract_failures(dlq).unionByName(execution_failures(events))
+def failure_feed(dlq: DataFrame, events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Both kinds of failure in one feed; ``keep`` names further columns of both sides."""
+    return contract_failures(dlq, keep).unionByName(execution_failures(events, keep))
 
 
 def event_log(df: DataFrame, source: Column, kind: str | Column, detail: Column, detected_at: Column) -> DataFrame:

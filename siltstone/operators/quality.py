@@ -103,11 +103,11 @@ def iso_interval(text: str) -> Column:
     return F.make_dt_interval(*[F.lit(amounts[u]) for u in "DHM"], F.lit(float(amounts["S"])))
 
 
-def staleness(df: DataFrame, source: str, timestamp: str, limit: str, now: Column) -> DataFrame:
-    """Newest timestamp of a source and whether it is older than the limit allows."""
-    newest = df.agg(F.max(timestamp).alias("newest"))
+def staleness(df: DataFrame, source: Column, timestamp: str, limit: str, now: Column) -> DataFrame:
+    """Newest timestamp of each source in one pass, and whether it is older than the limit allows."""
+    newest = df.groupBy(source.alias("source")).agg(F.max(timestamp).alias("newest"))
     return newest.select(
-        F.lit(source).alias("source"),
+        "source",
         "newest",
         F.coalesce(F.col("newest") < now - iso_interval(limit), F.lit(True)).alias("stale"),
     )

@@ -77,9 +77,11 @@ def maturity_level(required: Column, passed: Column) -> Column:
 def maturity(capabilities: DataFrame, evidence: DataFrame, now: Column, commit: str) -> DataFrame:
     """Maturity per capability (capability_id, required_gates, ...), kept when it has no evidence.
 
-    Evidence shrinks to at most one row per capability and gate before the join.
+    Evidence that breaks a row rule does not count. Evidence shrinks to at most one row per capability
+    and gate before the join.
     """
-    good = evidence.where((F.col("status") == "PASS") & is_current(now, commit) & F.col("gate").isin(*GATES))
+    valid = evidence.where(F.size(evidence_violations()) == 0)
+    good = valid.where((F.col("status") == "PASS") & is_current(now, commit))
     passed = good.groupBy("capability_id").agg(F.collect_set("gate").alias("_passed"))  # at most one per known gate
     joined = capabilities.join(passed, "capability_id", "left")
     known = F.coalesce("_passed", F.array().cast("array<string>"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators import contracts, healing, quality
+from siltstone.operators.contracts import PAYLOAD, REASON
 from siltstone.operators.forest import anomaly_scores, fit, insights, score_offset
 from siltstone.operators.features import FEATURES, build_features
 from siltstone.plans.declared import APPEND_ONLY, CONTRACTS, PRODUCTS, SILVER_KEYS
@@ -21,6 +22,8 @@ from siltstone.sources import cursors, lake, landing
 
 EVENTS = "event_id string, source_failure_type string, source string, detail string, detected_at timestamp"
 PROMOTED = "promoted_at timestamp, source string, ingestion_date string, batch string"
+HANDLED = "failure_key string"
+EVENT_PARTS = ("source_failure_type", "source", "detail", "detected_at")
 
 
 @dataclass(frozen=True)
@@ -43,6 +46,10 @@ class Lake:
     def promoted(self) -> str:
         return f"{self.root}/control/promoted"
 
+    @property
+    def handled(self) -> str:
+        return f"{self.root}/control/handled"
+
     @property
     def cursors(self) -> str:
         return f"{self.root}/control/cursors"
@@ -98,7 +105,7 @@ def promote_to_silver(spark: SparkSession, place: Lake, source: str, now: Column
         newest = [F.col("ingestion_date").desc(), F.col("batch").desc(), F.col("payload").desc()]
         lake.merge_into(
             spark, rows.select(*columns, "ingestion_date", "batch", "payload"), place.silver(source),
-            SILVER_KEYS[source], newest, buckets,
+            SILVER_KEYS[source], newest, buckets, stays=newest[:2],
         )
     elif source in APPEND_ONLY:
         lake.replace_partitions(rows.select(*columns, "ingestion_date", "batch"), place.silver(source), ["ingestion_date", "batch"])
@@ -135,17 +142,29 @@ def generate_insights(
 
 
 def collect_failures(spark: SparkSession, place: Lake) -> DataFrame:
-    """Contract and execution failures beyond both cursors."""
-    def newer(df: DataFrame, name: str) -> DataFrame:
-        return lake.incremental(df, "detected_at", F.lit(_position(spark, place, name)).cast("timestamp"))
+    """Contract and execution failures that were never acknowledged, with their ``failure_key``.
 
-    dlq = newer(lake.read_dlq(spark, place.bronze), "bronze_dlq")
-    events = newer(lake.read_table(spark, place.events, EVENTS), "self_healing_events")
-    return healing.failure_feed(dlq, events)
+    A failure is known by its key, not by its time, so one stamped at or before the newest handled
+    instant but written later is handed out as well. A dead letter's key is its batch, reason and
+    record: replaying a batch raises nothing anew. The feed is fixed here, so that acknowledging it
+    covers what was handed out and nothing that has arrived since.
+    """
+    handled = lake.read_table(spark, place.handled, HANDLED)
+    parts = [F.coalesce(c, F.lit("")) for c in ("source", "ingestion_date", "batch", REASON, PAYLOAD)]
+    dlq = lake.read_dlq(spark, place.bronze).withColumn("failure_key", F.sha2(F.to_json(F.array(*parts)), 256))
+    events = lake.read_table(spark, place.events, EVENTS).withColumn(
+        "failure_key", F.coalesce(F.concat(F.lit("event-"), "event_id"), F.sha2(F.to_json(F.struct(*EVENT_PARTS)), 256))
+    )
+    unread = [df.join(handled, "failure_key", "left_anti") for df in (dlq, events)]
+    return cut_lineage(healing.failure_feed(*unread, keep=["failure_key"]))
 
 
 def acknowledge_failures(spark: SparkSession, place: Lake, feed: DataFrame, now: Column) -> None:
-    """Move both cursors to the newest failure handled; an empty feed moves nothing."""
+    """Remember the failures handled, then move both cursors to the newest; an empty feed moves nothing.
+
+    Remembering a failure twice changes nothing, so a run that dies half-way is run again.
+    """
+    feed.select("failure_key").distinct().write.mode("append").parquet(place.handled)
     at = F.to_timestamp("detected_at").cast("string")
     kinds = {"bronze_dlq": F.col("source_failure_type") == "contract", "self_healing_events": F.col("source_failure_type") != "contract"}
     for name, mine in kinds.items():

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltstone.operators import contracts, keyed, quality
+from siltstone.plans import jobs
 from siltstone.plans.declared import CONTRACTS
 from siltstone.plans.queries import MIDPOINT, MONTH_END, moment, register, stamp, table
 from siltstone.session import spread, work_path
@@ -113,7 +115,7 @@ def bronze_and_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM orders GROUP BY 1"""
 )
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as lost-sales drops, one folder per month's first day, written and read back with a contract."""
+    """Orders as lost-sales drops, one folder per year's first day, written and read back with a contract."""
     base = work_path(spark, "landing")
     sales = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("opportunity_id"),
@@ -124,11 +126,7 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     landing.write_drops(sales, base, F.trunc(F.col("lost_at").substr(1, 10).cast("date"), "year"))
     contract = CONTRACTS["crm_lost_sales"]
-    years = [f"{y}-01-01" for y in range(1995, 2003)]  # the last year has no drop
-    drops = [landing.read_drop(spark, base, ds) for ds in years]
-    lines = drops[0]
-    for drop in drops[1:]:
-        lines = lines.unionByName(drop)
+    lines = landing.read_drop(spark, base, "*").unionByName(landing.read_drop(spark, base, "no-such-day"))
     valid, _ = contracts.split(contracts.check(lines, contract), contract)
     return valid.groupBy(F.col("lost_at").substr(1, 4).alias("year")).agg(
         F.count("*").alias("rows"),
@@ -163,6 +161,68 @@ def incremental_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.incremental(failures, "ts", moment(MIDPOINT)).select("event_id", "user_id", stamp(F.col("ts")).alias("ts"))
 
 
+@register(
+    CHECKED_SQL
+    + f"""SELECT 1 + (ts <= TIMESTAMP '{MIDPOINT}')::INTEGER AS run, 'contract' AS source_failure_type, reason AS detail, CAST(count(*) AS BIGINT) AS failures
+  FROM q WHERE reason IS NOT NULL GROUP BY ALL
+UNION ALL
+SELECT 1 + (event_id % 3 = 0)::INTEGER, 'execution', 'user ' || user_id % 50, CAST(count(*) AS BIGINT) FROM events WHERE event_type = 'error' GROUP BY ALL"""
+)
+def failures_across_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failures handed out by two runs of the feed, the first acknowledged before more are written: dead
+    letters of the same instant, and events some of which are older than the newest handled."""
+    place = jobs.Lake(work_path(spark, "lake"))
+    checked = checked_quotes(spark, sf_dir)
+    day, early = F.date_format("ts", "yyyy-MM-dd"), F.col("ts") <= moment(MIDPOINT)
+    third = F.col("event_id") % 3 == 0
+    log = table(spark, sf_dir, "events").where("event_type = 'error'").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.lit("execution").alias("source_failure_type"),
+        F.col("user_id").cast("string").alias("source"),
+        F.concat(F.lit("user "), F.col("user_id") % 50).alias("detail"),
+        F.col("ts").alias("detected_at"),
+    )
+    runs = []
+    for run, quotes, errors in ((1, ~early, ~third), (2, early, third)):
+        lake.write_checked(checked.where(quotes), QUOTES, place.bronze, day, moment(MONTH_END), f"b{run}", backfill=True)
+        lake.append_log(log.where(errors), place.events, f"b{run}")
+        feed = jobs.collect_failures(spark, place)
+        jobs.acknowledge_failures(spark, place, feed, moment(MONTH_END))
+        runs.append(feed.withColumn("run", F.lit(run)))
+    runs.append(jobs.collect_failures(spark, place).withColumn("run", F.lit(3)))  # nothing is left
+    found = runs[0].unionByName(runs[1]).unionByName(runs[2])
+    return found.groupBy("run", "source_failure_type", "detail").agg(F.count(F.lit(1)).alias("failures"))
+
+
+@register(
+    """SELECT 'o' || o_custkey AS opportunity_id, round(max_by(o_totalprice, (o_orderdate, o_orderkey)), 2) AS estimated_value FROM orders GROUP BY 1"""
+)
+def silver_late_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as lost sales of one account each: the odd years' drops reach Silver first, the older even
+    years' drops arrive late; the newest sale of an account stays."""
+    place, source = jobs.Lake(work_path(spark, "lake")), "crm_lost_sales"
+    contract = CONTRACTS[source]
+    sales = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("o"), "o_custkey").alias("opportunity_id"),
+        F.col("o_orderkey").cast("string").alias("account_name"),
+        F.lit("r").alias("lost_reason"),
+        F.col("o_totalprice").alias("estimated_value"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("lost_at"),
+        F.year("o_orderdate").alias("year"),
+        F.row_number().over(
+            W.partitionBy("o_custkey", F.year("o_orderdate")).orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc())
+        ).alias("n"),
+    ).where("n = 1")  # one sale of an account and drop
+    lines = sales.select("year", F.to_json(F.struct(*contract.schema().fieldNames())).alias(contracts.PAYLOAD))
+    for name, mine in (("odd", F.col("year") % 2 == 1), ("even", F.col("year") % 2 == 0)):
+        checked = contracts.check(lines.where(mine), contract)
+        day = F.concat(F.col("year").cast("string"), F.lit("-12-31"))
+        lake.write_checked(checked, contract, place.bronze, day, moment(MONTH_END), name, backfill=True)
+        jobs.promote_to_silver(spark, place, source, moment(MONTH_END))
+    silver = spark.read.parquet(place.silver(source))
+    return silver.select("opportunity_id", F.round("estimated_value", 2).alias("estimated_value"))
+
+
 @register(
     """SELECT event_type AS source, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS position FROM events GROUP BY 1
 UNION ALL SELECT 'orders', strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S.%f') FROM orders"""
@@ -259,14 +319,8 @@ def declared_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 def declared_staleness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event type as a source that promises to be at most 15 minutes old."""
     events = table(spark, sf_dir, "events")
-    parts = [
-        quality.staleness(events.where(F.col("event_type") == t), t, "ts", "PT15M", moment(MONTH_END))
-        for t in ("click", "error", "purchase", "signup", "view")
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result.select("source", stamp(F.col("newest")).alias("newest"), "stale")
+    found = quality.staleness(events, F.col("event_type"), "ts", "PT15M", moment(MONTH_END))
+    return found.select("source", stamp(F.col("newest")).alias("newest"), "stale")
 
 
 PAGE_ITEMS_SQL = """

@@ -189,20 +189,21 @@ def drift_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SCORES_SQL = """
-WITH s AS (SELECT source AS model_name, (quality - 0.6) + n_chars / 100000.0 AS champion, 0.3 - toxic - n_chars / 50000.0 AS challenger
-  FROM documents JOIN labels USING (doc_id))
+WITH s AS (SELECT source AS model_name, (coalesce(quality, 0) - 0.6) + n_chars / 100000.0 AS champion, 0.3 - coalesce(toxic, 0) - n_chars / 50000.0 AS challenger
+  FROM documents LEFT JOIN labels USING (doc_id))
 """
 
 
 def shadow_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two score columns per labelled document; a document's source is the model scored."""
+    """Two score columns per document, labels that are absent as 0; a document's source is the model scored."""
     labelled = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars").join(
-        table(spark, sf_dir, "labels"), "doc_id"
+        table(spark, sf_dir, "labels"), "doc_id", "left"
     )
+    quality, toxic = (F.coalesce(c, F.lit(0)) for c in ("quality", "toxic"))
     return labelled.select(
         F.col("source").alias("model_name"),
-        (F.col("quality") - F.lit(0.6) + F.col("n_chars") / F.lit(100000.0)).alias("champion"),
-        (F.lit(0.3) - F.col("toxic") - F.col("n_chars") / F.lit(50000.0)).alias("challenger"),
+        (quality - F.lit(0.6) + F.col("n_chars") / F.lit(100000.0)).alias("champion"),
+        (F.lit(0.3) - toxic - F.col("n_chars") / F.lit(50000.0)).alias("challenger"),
     )
 
 

@@ -152,6 +152,8 @@ cap AS (SELECT 'CAP-' || lpad(CAST(n AS VARCHAR), 2, '0') AS capability_id, 'cap
   CASE WHEN n % 3 = 0 THEN ['dagbag', 'alert'] WHEN n % 2 = 1 THEN ['unit', 'contract', 'lint', 'local_integration', 'recovery', 'alert', 'runbook']
     ELSE ['unit', 'contract', 'lint', 'local_integration', 'external_smoke'] END AS req FROM c),
 g AS (SELECT capability_id, list(DISTINCT gate) AS passed FROM e WHERE status = 'PASS' AND commit_sha = 'abc'
+  AND regexp_matches(capability_id, '^CAP-(0[1-9]|10)$') AND gate <> 'party' AND reason_code IS NULL
+  AND NOT (gate = 'external_smoke' AND expires_at IS NULL) AND finished_at >= started_at
   AND (expires_at IS NULL OR expires_at >= TIMESTAMP '{MIDPOINT}') GROUP BY 1),
 m AS (SELECT cap.*, coalesce(passed, []::VARCHAR[]) AS passed FROM cap LEFT JOIN g USING (capability_id)),
 r AS (SELECT capability_id, name, owner, CASE

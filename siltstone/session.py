@@ -6,12 +6,15 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest side, in rows, that an operator marks for broadcast after counting it.
+# Largest side, in rows and in bytes, that an operator marks for broadcast after measuring it.
 BROADCAST_ROW_LIMIT = 200_000
-# Planned bytes that count as one row when the size is judged without a job.
-BYTES_PER_ROW = 64
+BROADCAST_BYTE_LIMIT = 64 << 20
+# A side planned above this is not measured, since that would run its plan once more.
+MEASURED_BYTES = 4 << 30
 
 
 def build_session(app: str = "siltstone", cores: int | str = "*", shuffle_partitions: int | None = None) -> SparkSession:
@@ -73,12 +76,29 @@ def planned_bytes(df: DataFrame) -> int:
 
 
 def is_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """Whether a side may be broadcast.
+    """Whether a side may be broadcast: its rows and bytes are measured, one row per task.
 
-    A side made from little data is known to be small without a job; any other is counted,
-    at most up to ``limit + 1`` rows.
+    The planner's estimate only spares the measurement of a side that is plainly large; it is no
+    upper bound (an exploded array counts as one row), so nothing is broadcast on its word.
     """
-    return planned_bytes(df) <= limit * BYTES_PER_ROW or df.limit(limit + 1).count() <= limit
+    if planned_bytes(df) > MEASURED_BYTES:
+        return False
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    return rows <= limit and size <= BROADCAST_BYTE_LIMIT
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: the length of text, binary and nested values, eight for any other."""
+    fixed, total = 0, F.lit(0).cast("long")
+    for field in df.schema.fields:
+        value = df[f"`{field.name}`"]
+        if isinstance(field.dataType, T.StringType | T.BinaryType):
+            total = total + F.coalesce(F.octet_length(value), F.lit(0))
+        elif isinstance(field.dataType, T.StructType | T.ArrayType | T.MapType | T.VariantType):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(value.alias("v")))), F.lit(0))
+        else:
+            fixed += 8
+    return total + F.lit(fixed)
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:

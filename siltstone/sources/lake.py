@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.operators.contracts import PAYLOAD, REASON, Contract, typed_columns
-from siltstone.operators.keyed import upsert
+from siltstone.operators.keyed import first_per_key, upsert
 from siltstone.sources.landing import path_exists
 
 DLQ_SCHEMA = f"zone string, source string, ingestion_date string, batch string, {REASON} string, {PAYLOAD} string, detected_at timestamp"
-BUCKET = "_bucket"
+BUCKET, ARRIVED = "_bucket", "_arrived"
 
 
 def bronze_path(root: str, source: str) -> str:
@@ -105,6 +105,7 @@ def merge_into(
     keys: Sequence[str],
     order: Sequence[Column],
     buckets: int = 64,
+    stays: Sequence[Column] = (),
 ) -> None:
     """Keyed merge into a Silver folder laid out in hash buckets of the key.
 
@@ -112,6 +113,9 @@ def merge_into(
     numbers reach the driver to name them). Repeating the merge gives the same table, so a
     run that dies half-way is simply run again. Choose ``buckets`` so that one bucket is a
     few gigabytes; a table format with row-level MERGE replaces this function where present.
+
+    An incoming row replaces a stored one, but with ``stays`` only if it is not behind it in that
+    order: a batch that arrives late leaves newer rows alone.
     """
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     incoming = source.withColumn(BUCKET, bucket)
@@ -121,7 +125,11 @@ def merge_into(
         target = spark.read.schema(schema).parquet(path).where(F.col(BUCKET).isin(touched))
     else:
         target = incoming.limit(0)
-    merged = upsert(target, incoming, keys, order)
+    if stays:
+        both = target.withColumn(ARRIVED, F.lit(0)).unionByName(incoming.withColumn(ARRIVED, F.lit(1)))
+        merged = first_per_key(both, keys, [*stays, F.col(ARRIVED).desc(), *order]).drop(ARRIVED)
+    else:
+        merged = upsert(target, incoming, keys, order)
     # Rebalancing lets AQE pick the file count: small buckets share a task, large ones are split.
     replace_partitions(merged.hint("rebalance", BUCKET), path, [BUCKET])
 

@@ -38,6 +38,20 @@ def test_drop_to_failure_feed(spark, tmp_path, rows):
     assert jobs.collect_failures(spark, place).count() == 0
 
 
+def test_failures_written_late_or_at_the_same_instant_are_handed_out(spark, tmp_path):
+    place, base, source = jobs.Lake(str(tmp_path / "lake")), tmp_path / "raw", "crm_lost_sales"
+    drops = {"2026-07-31": "2026-07-31 10:00:00", "2026-08-01": "2026-07-31 10:00:00", "2026-08-02": "2026-07-31 09:59:00"}
+    for ds, seen in drops.items():  # the second has the same instant, the third an older one
+        drop(base, ds, (f"bad {ds}", -1.0))
+        jobs.ingest_drop(spark, place, source, str(base), ds, at(seen))
+        feed = jobs.collect_failures(spark, place)
+        assert feed.count() == 1
+        for _ in range(2):  # acknowledging twice changes nothing
+            jobs.acknowledge_failures(spark, place, feed, at("2026-08-03 00:00:00"))
+    jobs.ingest_drop(spark, place, source, str(base), "2026-08-02", at("2026-08-04 00:00:00"))  # a replay
+    assert jobs.collect_failures(spark, place).count() == 0
+
+
 def test_a_late_older_day_reaches_silver(spark, tmp_path, rows):
     place, base, source = jobs.Lake(str(tmp_path / "lake")), tmp_path / "raw", "crm_lost_sales"
     drop(base, "2026-08-01", ("o1", 1.0))

@@ -7,6 +7,7 @@ from siltstone.operators import keyed, metrics, quality
 from siltstone.operators.ordering import lag_by_key, running_extremes, with_row_index
 from siltstone.operators.skew import hot_keys, left_join_many, lookup_join, salted_join
 from siltstone.plans.declared import PRODUCTS
+from siltstone.session import is_small
 
 
 def test_latest_by_key_keeps_first_arrival_on_ties(spark, rows):
@@ -159,3 +160,10 @@ def test_outer_join_to_a_hot_side(spark, rows):
         assert rows(left_join_many(left, many, ["k"], ["i"], limit), "k", "n", "i") == expected
     again = lookup_join(many, left, ["k"], ["i"], "left", limit=3)
     assert rows(again, "k", "n", "i") == rows(many.join(left, "k", "left"), "k", "n", "i")
+
+
+def test_an_exploded_side_is_measured_before_it_is_broadcast(spark):
+    wide = spark.range(10).select(F.explode(F.sequence(F.lit(0), F.lit(99))).alias("id"))
+    assert is_small(wide, 1000) and not is_small(wide, 999)
+    long_texts = spark.range(70).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    assert not is_small(long_texts)
