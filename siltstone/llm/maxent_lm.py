@@ -149,6 +149,22 @@ def build_lexicon(kinds: DataFrame, counts: DataFrame) -> Lexicon:
     return Lexicon([r["word"].encode() for r in rows], table, int(total[0]), int(total[1]), class_of, inner, members)
 
 
+def _log_chosen(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Natural log of the softmax at one column of each row."""
+    logits -= logits.max(axis=1, keepdims=True)
+    own = logits[np.arange(len(logits)), chosen]
+    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+
+def _slope(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The softmax of each row, less one at the chosen column."""
+    logits -= logits.max(axis=1, keepdims=True)
+    share = np.exp(logits, out=logits)
+    share /= share.sum(axis=1, keepdims=True)
+    share[np.arange(len(share)), chosen] -= 1
+    return share
+
+
 class Model:
     """Weights of the class factor (one row per hashed feature) and of the words within classes."""
 
@@ -186,10 +202,11 @@ class Model:
         rows = np.stack([spot(one), _CONTEXT_ROWS + spot(two), 2 * _CONTEXT_ROWS + spot(three), 3 * _CONTEXT_ROWS + pair], axis=1)
         return rows, np.where(one < _INNER_ROWS // 2, one, _INNER_ROWS // 2 + one % (_INNER_ROWS // 2))
 
-    def class_logs(self, rows: np.ndarray) -> np.ndarray:
-        logits = self.outer[rows].sum(axis=1) + self.bias
-        logits -= logits.max(axis=1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    def class_logits(self, rows: np.ndarray) -> np.ndarray:
+        logits = self.bias + np.take(self.outer, rows[:, 0], axis=0)
+        for k in range(1, rows.shape[1]):
+            logits += np.take(self.outer, rows[:, k], axis=0)
+        return logits
 
     def classes(self, numbers: np.ndarray) -> np.ndarray:
         model = (numbers >= 0) & (numbers < self.lexicon.model_words)
@@ -197,11 +214,9 @@ class Model:
         out[model] = self.lexicon.class_of[numbers[model]]
         return out
 
-    def inner_logs(self, c: int, rows: np.ndarray) -> np.ndarray:
+    def inner_logits(self, c: int, rows: np.ndarray) -> np.ndarray:
         a, b = self.starts[c], self.starts[c + 1]
-        logits = self.within[rows, a:b] + self.unigram[a:b]
-        logits -= logits.max(axis=1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+        return self.within[rows, a:b] + self.unigram[a:b]
 
     def log_probabilities(self, numbers: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Natural logs; a word outside the table (-1) gets that of its class only."""
@@ -210,7 +225,7 @@ class Model:
         classes = self.classes(numbers)
         for part in range(0, len(numbers), _BATCH):
             at = slice(part, part + _BATCH)
-            out[at] = self.class_logs(rows[at])[np.arange(len(rows[at])), classes[at]]
+            out[at] = _log_chosen(self.class_logits(rows[at]), classes[at])
         rest = (classes == self.n_classes - 1) & (numbers >= 0)
         out[rest] += np.log(lexicon.counts[numbers[rest]] + 0.5) - np.log(lexicon.rest_weight)
         for c, group in enumerate(lexicon.members):
@@ -218,7 +233,7 @@ class Model:
                 own = np.flatnonzero(classes == c)
                 for part in range(0, len(own), _BATCH):
                     at = own[part : part + _BATCH]
-                    out[at] += self.inner_logs(c, inner_rows[at])[np.arange(len(at)), lexicon.inner[numbers[at]]]
+                    out[at] += _log_chosen(self.inner_logits(c, inner_rows[at]), lexicon.inner[numbers[at]])
         return out
 
     def train(self, numbers: np.ndarray, starts: np.ndarray, memory: tuple[np.ndarray, np.ndarray]) -> None:
@@ -227,21 +242,19 @@ class Model:
         classes = self.classes(numbers)
         for part in range(0, len(numbers), _BATCH):
             at = slice(part, part + _BATCH)
-            slope = np.exp(self.class_logs(rows[at]))
-            slope[np.arange(len(slope)), classes[at]] -= 1
+            slope = _slope(self.class_logits(rows[at]), classes[at])
             owner = np.repeat(np.arange(len(slope)), rows.shape[1])
             self._step(self.outer, memory[0], rows[at].ravel(), slope, owner, slice(None))
             for c, group in enumerate(self.lexicon.members):
                 own = part + np.flatnonzero(classes[at] == c)
                 if len(group) > 1 and len(own):
-                    slope = np.exp(self.inner_logs(c, inner_rows[own]))
-                    slope[np.arange(len(own)), self.lexicon.inner[numbers[own]]] -= 1
+                    slope = _slope(self.inner_logits(c, inner_rows[own]), self.lexicon.inner[numbers[own]])
                     columns = slice(self.starts[c], self.starts[c + 1])
                     self._step(self.within, memory[1], inner_rows[own], slope, np.arange(len(own)), columns)
 
     @staticmethod
     def _step(weights: np.ndarray, memory: np.ndarray, rows: np.ndarray, slope: np.ndarray, owner: np.ndarray, columns: slice) -> None:
-        order = np.argsort(rows, kind="stable")
+        order = np.argsort(rows.astype(np.uint16), kind="stable")  # all row numbers are below 2^16; such are sorted by radix
         rows = rows[order]
         first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
         total = np.add.reduceat(slope[owner[order]], first, axis=0)
