@@ -30,8 +30,25 @@ def passes_gate(
     return reaches(faithfulness, faithfulness_floor) & reaches(relevancy, relevancy_floor)
 
 
+def plain_number(value: Column) -> Column:
+    """A number as text: 0.0004 and 12000000.0 in full, 4e-05 and 1e+16 beyond."""
+    number = value.cast("double")
+    text, size = number.cast("string"), F.abs(number)
+    small = F.regexp_replace(number.try_cast("decimal(38,24)").cast("string"), "0+$", "")
+    large = F.regexp_replace(F.regexp_replace(number.try_cast("decimal(38,18)").cast("string"), "0+$", ""), r"\.$", ".0")
+    power = F.substring_index(text, "E", -1)
+    digits = F.regexp_replace(power, "-", "")
+    short = F.concat(
+        F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", ""),
+        F.when(power.startswith("-"), "e-").otherwise("e+"),
+        F.when(F.length(digits) < 2, F.concat(F.lit("0"), digits)).otherwise(digits),
+    )
+    plain = F.when((size >= 1e-4) & (size < 1e-3), small).when((size >= 1e7) & (size < 1e16), large)
+    return plain.when(text.contains("E"), short).otherwise(text)
+
+
 def outlier_query(ticker: Column, score: Column) -> Column:
     """Search text of an outlier, e.g. ``PETR4 anomaly_score=-0.3``; missing parts are empty."""
     return F.concat(
-        F.coalesce(ticker, F.lit("")), F.lit(" anomaly_score="), F.coalesce(score.cast("string"), F.lit(""))
+        F.coalesce(ticker, F.lit("")), F.lit(" anomaly_score="), F.coalesce(plain_number(score), F.lit(""))
     )

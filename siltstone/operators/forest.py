@@ -16,6 +16,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone.operators.ordering import sorted_partitions
+
 # Trees, rows per tree, share flagged as anomalies, seed.
 TREES = 100
 SAMPLE = 256
@@ -36,21 +38,19 @@ def mean_path(n: np.ndarray) -> np.ndarray:
 
 
 def training_sample(df: DataFrame, row_key: Sequence[str], trees: int, sample: int, seed: int) -> DataFrame:
-    """Rows for each tree: a table-wide pool of ``trees * sample`` rows, then ``sample`` per tree.
+    """Rows for each tree: the ``sample`` rows of the whole table with the smallest hash of (row, tree).
 
-    The pool is a top-k by hash, so only a bounded number of rows ever reaches the trees. A tree
-    then takes the ``sample`` rows with the smallest hash of (row, tree); rows whose hash lies
-    far above that level are left out before the ranking.
+    About ``2 * sample`` rows lie below a tree's hash level whatever the table's size, so a row names
+    the trees that may want it and only those copies leave the scan. That fewer than ``sample`` rows
+    lie below the level is rarer than one in 10^30; a table of few rows goes to every tree whole.
     """
-    size = trees * sample
-    draw = F.xxhash64(F.lit(seed), *row_key)
-    pool = df.withColumn("_draw", draw).orderBy("_draw", *row_key).limit(size)
-    available = F.least(df.agg(F.count("*")).scalar(), F.lit(size))
-    dealt = pool.withColumn("_share", F.lit(2.0 * sample) / available).withColumn(
-        "tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
+    available = F.greatest(df.agg(F.count("*")).scalar(), F.lit(1))
+    marked = df.withColumn("_draw", F.xxhash64(F.lit(seed), *row_key)).withColumn("_share", F.lit(2.0 * sample) / available)
+    wanted = F.filter(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda tree: F.xxhash64("_draw", tree) / F.lit(2.0**64) + F.lit(0.5) <= F.col("_share"),
     )
-    place = F.pmod(F.xxhash64("_draw", "tree"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    near = dealt.withColumn("_place", place).where(F.col("_place") <= F.col("_share"))
+    near = marked.withColumn("tree", F.explode(wanted)).withColumn("_place", F.xxhash64("_draw", "tree"))
     rank = F.row_number().over(W.partitionBy("tree").orderBy("_place", *row_key))
     return near.withColumn("_rank", rank).where(F.col("_rank") <= sample).drop("_draw", "_share", "_place", "_rank")
 
@@ -129,9 +129,25 @@ def raw_scores(df: DataFrame, nodes: DataFrame, features: Sequence[str], output:
 
 
 def score_offset(train: DataFrame, nodes: DataFrame, features: Sequence[str], contamination: float = CONTAMINATION) -> DataFrame:
-    """One row, fixed at training time: the ``contamination`` quantile of the training scores."""
-    scored = raw_scores(train, nodes, features)
-    return scored.agg(F.percentile_approx("raw_score", F.lit(contamination), F.lit(10_000)).alias("offset"))
+    """One row, fixed at training time: the exact ``contamination`` quantile of the training scores.
+
+    Between two ranks it is interpolated. Equal scores are counted before they are ordered.
+    """
+    counted = raw_scores(train, nodes, features).groupBy("raw_score").agg(F.count("*").alias("_n"))
+    slices = sorted_partitions(counted, ["raw_score"])
+    before = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)  # one row per partition
+    starts = slices.groupBy("_slice").agg(F.sum("_n").alias("_rows")).select(
+        "_slice",
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
+        ((F.sum("_rows").over(W.partitionBy()) - 1) * contamination).alias("_at"),
+    )
+    inside = W.partitionBy("_slice").orderBy("_place").rowsBetween(W.unboundedPreceding, -1)
+    first = F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    ranked = slices.join(starts.hint("broadcast"), "_slice").withColumn("_first", first)
+    low = F.max(F.when(F.col("_first") <= F.floor("_at"), F.col("raw_score")))
+    high = F.max(F.when(F.col("_first") <= F.ceil("_at"), F.col("raw_score")))
+    part = F.max(F.col("_at") - F.floor("_at"))
+    return ranked.agg((low + (high - low) * part).alias("offset"))
 
 
 def anomaly_scores(df: DataFrame, nodes: DataFrame, offset: DataFrame, features: Sequence[str]) -> DataFrame:

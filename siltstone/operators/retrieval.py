@@ -1,21 +1,19 @@
 """Exact top-k retrieval: vectors, BM25 text scores, rank fusion and reranking.
 
-Both searches send a bounded block of queries to the data. Each task scores its own rows with
-matrix products and keeps the k best per query, so the shuffle carries k rows per query and
-task, never a (query, document) pair list. When there are more queries than fit in one block
-the corpus is scanned once per block and nothing is dropped.
+Text search joins the terms of the queries with postings and adds up per (query, document), all in
+built-in expressions. Vector search deals the vectors into groups of bounded size and gives each
+group the queries, a block at a time; a group scores with matrix products and keeps k rows per
+query. Neither queries nor scores pass through the driver, and nothing is dropped.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,17 +28,16 @@ KEPT = 4
 K1, B = 1.2, 0.75
 FUSION_CONSTANT = 60
 QUERY_BLOCK = 4096
-TERM_BLOCK = 20_000
 # Scores are compared at this many decimals, so equal documents tie wherever they are stored.
 DECIMALS = 9
 _CELLS = 4_000_000
 
 
 class _Best:
-    """The k best (score desc, id asc) per query over the rows one task has seen."""
+    """The k best (score desc, id asc) per query over the rows of a group."""
 
-    def __init__(self, queries: int, k: int, positive: bool) -> None:
-        self.k, self.positive = k, positive
+    def __init__(self, queries: int, k: int) -> None:
+        self.k = k
         self.ids: list = [np.empty(0, dtype=object)] * queries
         self.scores: list = [np.empty(0)] * queries
 
@@ -50,8 +47,6 @@ class _Best:
         for q, row in enumerate(scores):
             floor = self.scores[q][-1] if len(self.scores[q]) == self.k else -np.inf
             keep = row >= floor
-            if self.positive:
-                keep &= row > 0
             if len(row) > self.k and keep.sum() > self.k:
                 keep &= row >= np.partition(row[keep], -self.k)[-self.k]
             picked = np.flatnonzero(keep)
@@ -80,26 +75,17 @@ def _result_schema(queries: DataFrame, corpus: DataFrame) -> T.StructType:
     )
 
 
-def _emit(best: _Best, names: list, query_type: pa.DataType, id_type: pa.DataType) -> pa.RecordBatch:
+def _emit(best: _Best, names: list, query_type: pa.DataType, id_type: pa.DataType) -> pa.Table:
     rows = best.rows(names)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(rows["query_id"], query_type), pa.array(rows["id"], id_type), pa.array(rows["score"], pa.float64())],
-        names=["query_id", "id", "score"],
+    return pa.table(
+        {"query_id": pa.array(rows["query_id"], query_type), "id": pa.array(rows["id"], id_type), "score": pa.array(rows["score"], pa.float64())}
     )
 
 
-def _blocks(queries: DataFrame, weight: int, limit: int) -> list[DataFrame]:
-    """Split queries by hash into blocks of about ``limit`` units of weight."""
-    count = max(1, math.ceil(weight / limit))
-    if count == 1:
-        return [queries]
-    block = F.pmod(F.xxhash64("query_id"), F.lit(count))
-    return [queries.where(block == b) for b in range(count)]
-
-
-def _union(spark: SparkSession, schema: T.StructType, parts: Iterable[DataFrame | None]) -> DataFrame:
-    found = [part for part in parts if part is not None]
-    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
+def _directions(table: pa.Table) -> np.ndarray:
+    """The vectors of a table as rows of length one."""
+    rows = table["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
 
 
 def top_per_query(scored: DataFrame, k: int, score: str = "score") -> DataFrame:
@@ -109,122 +95,74 @@ def top_per_query(scored: DataFrame, k: int, score: str = "score") -> DataFrame:
 
 
 def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = CANDIDATES, block: int = QUERY_BLOCK) -> DataFrame:
-    """Cosine top-k. ``queries``: query_id, vector; ``corpus``: id, vector (NULL vectors are skipped)."""
-    corpus = corpus.select("id", "vector").where("vector is not null")
-    queries = queries.select("query_id", "vector").where("vector is not null")
-    schema = _result_schema(queries, corpus)
-    total = queries.count()
-
-    def search(part: DataFrame) -> DataFrame | None:
-        table = part.orderBy("query_id").toArrow()  # one block of queries
-        names = table["query_id"].to_pylist()
-        query_type = table.schema.field("query_id").type
-        if not names:
-            return None
-        wanted = np.array(table["vector"].to_pylist(), dtype=float)
-        wanted /= np.maximum(np.linalg.norm(wanted, axis=1, keepdims=True), 1e-300)
-
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            best, id_type = _Best(len(names), k, positive=False), None
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                id_type = batch.schema.field("id").type
-                rows = batch.column("vector").flatten().to_numpy(zero_copy_only=False).astype(float)
-                rows = rows.reshape(batch.num_rows, -1)
-                rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
-                ids = np.array(batch.column("id").to_pylist(), dtype=object)
-                step = max(1, _CELLS // max(len(names), 1))
-                for at in range(0, len(ids), step):
-                    best.add(ids[at : at + step], wanted @ rows[at : at + step].T)
-            if id_type is not None:
-                yield _emit(best, names, query_type, id_type)
-
-        return corpus.mapInArrow(score, schema)
-
-    found = _union(corpus.sparkSession, schema, map(search, _blocks(queries, total, block)))
+    """Cosine top-k. ``queries``: query_id, vector; ``corpus``: id, vector (NULL vectors are skipped).
+
+    The corpus is shuffled once per ``block`` queries, in groups of about 32 MB.
+    """
+    numbers = F.col("vector").cast("array<double>").alias("vector")
+    rows = corpus.where("vector is not null").select("id", numbers)
+    asked = queries.where("vector is not null").select("query_id", numbers)
+    schema = _result_schema(asked, rows)
+    cells = rows.agg(F.coalesce(F.sum(F.size("vector")), F.lit(0))).first()[0]
+    groups, blocks = max(1, math.ceil(cells / _CELLS)), max(1, math.ceil(asked.count() / block))
+
+    def one_of(n: int, *columns: str):
+        return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
+
+    def each_of(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    none_of = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields}
+    left = asked.select(
+        F.lit(True).alias("asked"), "query_id", none_of["id"], "vector", one_of(blocks, "query_id").alias("block"), each_of(groups).alias("group")
+    )
+    right = rows.select(
+        F.lit(False).alias("asked"), none_of["query_id"], "id", "vector", each_of(blocks).alias("block"), one_of(groups, "id", "vector").alias("group")
+    )
+
+    def search(table: pa.Table) -> pa.Table:
+        mine, others = table.filter(table["asked"]), table.filter(pc.invert(table["asked"]))
+        best = _Best(mine.num_rows, k)
+        if mine.num_rows and others.num_rows:
+            wanted, base = _directions(mine), _directions(others)
+            ids = np.array(others["id"].to_pylist(), dtype=object)
+            step = max(1, _CELLS // len(wanted))
+            for at in range(0, len(ids), step):
+                best.add(ids[at : at + step], wanted @ base[at : at + step].T)
+        return _emit(best, mine["query_id"].to_pylist(), table.schema.field("query_id").type, table.schema.field("id").type)
+
+    found = left.unionByName(right).groupBy("block", "group").applyInArrow(search, schema)
     return top_per_query(found, k)
 
 
 def text_index(docs: DataFrame) -> DataFrame:
-    """Tokenised documents (id, length, tokens); save it once and search it many times."""
-    return docs.select("id", tx.tokens(F.col("text")).alias("tokens")).select(
-        "id", F.size("tokens").alias("length"), "tokens"
-    )
+    """Postings (term, id, tf, length) of documents (id, text); save them once and search them many times.
+
+    One more row per document, with a NULL term, counts it and its length.
+    """
+    words = docs.select("id", tx.tokens(F.col("text")).alias("tokens"))
+    all_terms = F.concat(F.array(F.lit(None).cast("string")), F.coalesce("tokens", F.array().cast("array<string>")))
+    rows = words.select("id", F.size("tokens").alias("length"), F.explode(all_terms).alias("term"))
+    return rows.groupBy("term", "id", "length").agg(F.count("*").alias("tf"))
 
 
-def bm25_topk(queries: DataFrame, index: DataFrame, k: int = CANDIDATES, block: int = TERM_BLOCK) -> DataFrame:
+def bm25_topk(queries: DataFrame, index: DataFrame, k: int = CANDIDATES) -> DataFrame:
     """BM25 top-k of ``queries`` (query_id, text) over a text index; documents sharing no term are left out.
 
     idf = ln(1 + (N - df + 0.5) / (df + 0.5)), k1 = 1.2, b = 0.75, each query term counted once.
+    Postings of other terms stay behind before the exchange; one of a frequent term is split by AQE.
     """
-    terms = queries.select("query_id", F.array_distinct(tx.tokens(F.col("text"))).alias("terms"))
-    weight = terms.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("w")).first()["w"]
-    size = index.agg(F.count("*").alias("n"), F.coalesce(F.avg("length"), F.lit(0.0)).alias("mean")).first()
-    schema = _result_schema(queries, index)
-
-    def search(part: DataFrame) -> DataFrame | None:
-        table = part.orderBy("query_id").toArrow()  # one block of query terms
-        names = table["query_id"].to_pylist()
-        query_type = table.schema.field("query_id").type
-        per_query = table["terms"].to_pylist()
-        if not names:
-            return None
-        vocabulary = pa.array(sorted({t for ts in per_query for t in ts}), pa.string())
-        at = {t: i for i, t in enumerate(vocabulary.to_pylist())}
-        asks = [np.array([at[t] for t in ts], dtype=np.int64) for ts in per_query]
-
-        def frequencies(batch: pa.RecordBatch) -> np.ndarray:
-            """Rows x vocabulary counts of one slice of documents."""
-            lists = batch.column("tokens")
-            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            found = pc.fill_null(pc.index_in(lists.flatten(), value_set=vocabulary), -1).to_numpy(zero_copy_only=False)
-            owner = np.repeat(np.arange(batch.num_rows), lengths)
-            hit = found >= 0
-            flat = np.bincount(owner[hit] * len(at) + found[hit], minlength=batch.num_rows * len(at))
-            return flat.reshape(batch.num_rows, len(at))
-
-        def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            step = max(1, _CELLS // max(len(at), 1))
-            for start in range(0, batch.num_rows, step):
-                yield batch.slice(start, step)
-
-        def document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen = np.zeros(len(at), dtype=np.int64)
-            for batch in batches:
-                for piece in slices(batch):
-                    seen += (frequencies(piece) > 0).sum(axis=0)
-            used = np.flatnonzero(seen)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(used, pa.int32()), pa.array(seen[used], pa.int64())], names=["term", "df"]
-            )
-
-        counts = index.select("tokens").mapInArrow(document_counts, "term int, df bigint")
-        df = np.zeros(len(at))
-        for row in counts.groupBy("term").agg(F.sum("df").alias("df")).collect():  # one row per query term
-            df[row["term"]] = row["df"]
-        idf = np.log(1.0 + (size["n"] - df + 0.5) / (df + 0.5))
-
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            best, id_type = _Best(len(names), k, positive=True), None
-            for batch in batches:
-                if not batch.num_rows or not at:
-                    continue
-                id_type = batch.schema.field("id").type
-                for piece in slices(batch):
-                    tf = frequencies(piece).astype(float)
-                    length = piece.column("length").to_numpy(zero_copy_only=False).astype(float)[:, None]
-                    weights = idf * tf * (K1 + 1.0) / (tf + K1 * (1.0 - B + B * length / max(size["mean"], 1e-300)))
-                    ids = np.array(piece.column("id").to_pylist(), dtype=object)
-                    by_term = np.ascontiguousarray(weights.T)
-                    best.add(ids, np.stack([by_term[columns].sum(axis=0) for columns in asks]))
-            if id_type is not None:
-                yield _emit(best, names, query_type, id_type)
-
-        return index.select("id", "length", "tokens").mapInArrow(score, schema)
-
-    found = _union(index.sparkSession, schema, map(search, _blocks(terms, weight, block)))
-    return top_per_query(found, k)
+    terms = queries.select("query_id", F.explode(F.array_distinct(tx.tokens(F.col("text")))).alias("term"))
+    docs = index.where("term is null")
+    total, mean = docs.agg(F.count("*")).scalar(), docs.agg(F.greatest(F.avg("length"), F.lit(1e-300))).scalar()
+    gain = F.col("tf") * (K1 + 1.0) / (F.col("tf") + K1 * (1.0 - B + B * F.col("length") / mean))
+    named = index.where("term is not null").join(terms.select("term").distinct(), "term", "left_semi")
+    df = named.groupBy("term").agg(F.count("*").alias("df"))
+    idf = F.log(1.0 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    asked = terms.join(df.select("term", idf.alias("idf")), "term")
+    scored = named.select("term", "id", gain.alias("gain")).join(asked, "term")
+    sums = scored.groupBy("query_id", "id").agg(F.round(F.sum(F.col("gain") * F.col("idf")), DECIMALS).alias("score"))
+    return top_per_query(sums.where("score > 0"), k)
 
 
 def fuse(a: DataFrame, b: DataFrame, k: int = CANDIDATES) -> DataFrame:
@@ -239,7 +177,10 @@ def fuse(a: DataFrame, b: DataFrame, k: int = CANDIDATES) -> DataFrame:
 def hybrid_topk(
     queries: DataFrame, index: DataFrame, vectors: DataFrame, k: int = CANDIDATES, depth: int = 5 * CANDIDATES
 ) -> DataFrame:
-    """Vector and text search fused. ``queries``: query_id, text, vector."""
+    """Vector and text search fused. ``queries``: query_id, text, vector.
+
+    ``depth`` is how many results of each search count; a document further down adds nothing.
+    """
     return fuse(vector_topk(queries, vectors, depth), bm25_topk(queries, index, depth), k)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +29,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> Da
     )
 
 
+def _with_slices(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the slices of its key; a key with NULLs is found as well."""
+    named = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_slices").hint("broadcast")  # at most 1 / share rows
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    return df.join(named, same, "left").drop(*[f"_hot_{k}" for k in keys])
+
+
 def salted_join(
     big: DataFrame,
     lookup: DataFrame,
@@ -37,14 +46,13 @@ def salted_join(
 ) -> DataFrame:
     """Join where each hot key of ``big`` is cut into slices and its lookup rows are repeated per slice.
 
-    The slice of a row is a hash of ``salt_by``, so a recomputed task gives the same rows.
+    The slice of a row is a hash of ``salt_by``, so a recomputed task gives the same rows. Rows
+    without a key match nothing, but an outer join keeps them: they are sliced like a hot key.
     """
-    hot = hot_keys(big, keys, share).hint("broadcast")  # at most 1 / share rows
+    hot = hot_keys(big, keys, share)
     slices = F.coalesce("_slices", F.lit(1))
-    left = big.join(hot, list(keys), "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_by), slices).cast("int"))
-    right = lookup.join(hot, list(keys), "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), slices - 1))
-    )
+    left = _with_slices(big, hot, keys).withColumn("_salt", F.pmod(F.xxhash64(*salt_by), slices).cast("int"))
+    right = _with_slices(lookup, hot, keys).withColumn("_salt", F.explode(F.sequence(F.lit(0), slices - 1)))
     return left.drop("_slices").join(right.drop("_slices"), [*keys, "_salt"], how).drop("_salt")
 
 

@@ -17,7 +17,7 @@ from siltstone.operators.contracts import PAYLOAD, REASON
 from siltstone.operators.forest import anomaly_scores, fit, insights, score_offset
 from siltstone.operators.features import FEATURES, build_features
 from siltstone.plans.declared import APPEND_ONLY, CONTRACTS, PRODUCTS, SILVER_KEYS
-from siltstone.session import cut_lineage
+from siltstone.session import cut_lineage, work_path
 from siltstone.sources import cursors, lake, landing
 
 EVENTS = "event_id string, source_failure_type string, source string, detail string, detected_at timestamp"
@@ -118,13 +118,16 @@ def promote_to_silver(spark: SparkSession, place: Lake, source: str, now: Column
 
 
 def build_gold(place: Lake, product_id: str, rows: DataFrame, arrival: Sequence[str]) -> DataFrame:
-    """Build, gate and replace one product. The gate runs before anything is written."""
-    product = PRODUCTS[product_id]
-    built, _ = quality.build_product(rows, product, arrival)
+    """Build, gate and replace one product. The gate sees the written rows, before they replace the product."""
+    spark, product = rows.sparkSession, PRODUCTS[product_id]
+    made, _ = quality.build_product(rows, product, arrival)
+    staged = work_path(spark, "gold-staged")
+    made.write.parquet(staged)
+    built = spark.read.schema(made.schema).parquet(staged)
     report = quality.require_quality(built, product)
     verdict = report.collect()  # one row; a breach raises here
     built.write.mode("overwrite").parquet(place.gold(product_id))
-    return rows.sparkSession.createDataFrame(verdict, report.schema)
+    return spark.createDataFrame(verdict, report.schema)
 
 
 def generate_insights(

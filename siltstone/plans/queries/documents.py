@@ -139,6 +139,10 @@ def hybrid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kept_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten candidates per query by text, four kept by a given relevance score."""
     found = retrieval.bm25_topk(text_queries(spark, sf_dir), saved_index(spark, sf_dir), retrieval.CANDIDATES)
+    # written first, so that Spark knows the size of the candidates and need not shuffle all texts for a few
+    path = work_path(spark, "candidates")
+    found.write.parquet(path)
+    found = spark.read.schema(found.schema).parquet(path)
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "source", "text", "n_chars")
     scored = found.drop("score").join(docs, "id").withColumn("relevance", (F.col("n_chars") % 10) / F.lit(10.0))
     return retrieval.rerank(scored, "relevance", retrieval.KEPT)

@@ -293,7 +293,7 @@ def published_product(spark: SparkSession, sf_dir: str) -> DataFrame:
             lost_sales_product(spark, sf_dir), name, path,
             "Governed lost-sales metrics by region and date", {"contract_version": "1"},
         )
-    return spark.read.parquet(path).withColumn("source_watermark", stamp(F.col("source_watermark")))
+    return spark.table(name).withColumn("source_watermark", stamp(F.col("source_watermark")))
 
 
 VIEW_SQL = """

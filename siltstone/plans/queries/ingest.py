@@ -243,7 +243,7 @@ def cursor_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     cursors.save_cursors(spark, path, marks(tagged.where(F.col("ts") <= moment(MIDPOINT)), MIDPOINT))
     newer = tagged.where(F.col("ts") > moment(MIDPOINT)).drop("ts").unionByName(orders)
     cursors.save_cursors(spark, path, marks(newer, MONTH_END))
-    return lake.read_table(spark, path, cursors.SCHEMA).select("source", "position")
+    return cursors.read_cursors(spark, path).select("source", "position")
 
 
 def state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -269,6 +269,39 @@ def champion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").agg(F.max("p_size").alias("version"))
 
 
+# A small forest of two trees over the features, in the layout of a fitted one.
+SMALL_FOREST = [
+    (0, 0, 0, 0.1, 1, 2, 0.0, 256), (0, 1, -1, 0.0, -1, -1, 6.5, 200), (0, 2, 1, 0.55, 3, 4, 0.0, 56),
+    (0, 3, -1, 0.0, -1, -1, 4.25, 40), (0, 4, -1, 0.0, -1, -1, 2.0, 16),
+    (1, 0, 2, -0.35, 1, 2, 0.0, 256), (1, 1, -1, 0.0, -1, -1, 3.0, 60), (1, 2, -1, 0.0, -1, -1, 7.75, 196),
+]
+
+
+@register(
+    FEATURES_SQL
+    + """, d AS (SELECT i, ticker,
+  (CASE WHEN price_change_pct < 0.1 THEN 6.5 WHEN vz < 0.55 THEN 4.25 ELSE 2.0 END + CASE WHEN lz < -0.35 THEN 3.0 ELSE 7.75 END) / 2.0 AS depth FROM a JOIN o USING (i))
+SELECT CAST(i AS BIGINT) AS row_index, ticker, round(-pow(2.0, -CAST(depth AS DOUBLE) / (2 * (ln(255.0::DOUBLE) + 0.5772156649015329::DOUBLE) - 2 * 255.0::DOUBLE / 256)), 6) AS raw_score FROM d"""
+)
+def forest_scores_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature matrix scored by the small forest."""
+    nodes = spark.createDataFrame(SMALL_FOREST, forest.NODES)
+    scored = forest.raw_scores(feature_rows(spark, sf_dir), nodes, list(features.FEATURES))
+    return scored.select("row_index", "ticker", F.round("raw_score", 6).alias("raw_score"))
+
+
+@register(
+    """SELECT sha256(CAST((SELECT max(p_size) FROM part) AS VARCHAR) || '|' || event_id) AS insight_id, 'T' || user_id AS source_ticker,
+  round(value - 100, 6) AS anomaly_score, CAST((SELECT max(p_size) FROM part) AS VARCHAR) AS model_version FROM events WHERE value - 100 < 0"""
+)
+def insight_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insights of derived scores: with a registered champion, and beside them none without one."""
+    scored = quotes(spark, sf_dir).withColumn("anomaly_score", F.col("price") - 100)
+    registered = champion(spark, sf_dir)
+    found = [forest.insights(scored, c, moment(MONTH_END), ["event_id"]) for c in (registered, registered.where("false"))]
+    return found[0].unionByName(found[1]).select("insight_id", "source_ticker", F.round("anomaly_score", 6).alias("anomaly_score"), "model_version")
+
+
 @register()
 def isolation_forest_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forest fitted on the feature matrix and its anomalies as insight rows (no SQL twin: randomised trees)."""

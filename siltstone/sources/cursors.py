@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.operators.keyed import upsert
-from siltstone.session import cut_lineage
+from siltstone.operators.keyed import first_per_key, upsert
 from siltstone.sources.lake import read_table
 
 EPOCH = "1970-01-01 00:00:00"
@@ -27,16 +26,20 @@ def set_cursors(cursors: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def save_cursors(spark: SparkSession, path: str, changes: DataFrame) -> None:
-    """Update the stored cursor table.
+    """Note new positions; the newest ``updated_at`` of a source counts.
 
-    The table is one row per source; it is cut from its own files before they are replaced.
-    Call this only after the effects of the batch are durable.
+    The table is a log that is only added to, a row per source and run, so a run that dies leaves
+    the old positions readable. Call this only after the effects of the batch are durable.
     """
-    updated = cut_lineage(set_cursors(read_table(spark, path, SCHEMA), changes.select("source", "position", "updated_at")))
-    updated.coalesce(1).write.mode("overwrite").parquet(path)
+    changes.select("source", "position", "updated_at").coalesce(1).write.mode("append").parquet(path)
+
+
+def read_cursors(spark: SparkSession, path: str) -> DataFrame:
+    """One row per source: its newest position."""
+    return first_per_key(read_table(spark, path, SCHEMA), ["source"], [F.col("updated_at").desc(), F.col("position").desc()])
 
 
 def position(cursors: DataFrame, source: str) -> Column:
-    """The stored position of a source as a scalar, the epoch when there is none."""
-    found = cursors.where(F.col("source") == source).agg(F.max("position").alias("p"))
+    """The newest position of a source as a scalar, the epoch when there is none."""
+    found = cursors.where(F.col("source") == source).agg(F.max_by("position", F.struct("updated_at", "position")).alias("p"))
     return F.coalesce(found.scalar(), F.lit(EPOCH))

@@ -7,7 +7,9 @@ rows instead of adding them twice.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +17,12 @@ from pyspark.sql import types as T
 
 from siltstone.operators.contracts import PAYLOAD, REASON, Contract, typed_columns
 from siltstone.operators.keyed import first_per_key, upsert
-from siltstone.sources.landing import path_exists
+from siltstone.sources.landing import matching_paths, path_exists
 
 DLQ_SCHEMA = f"zone string, source string, ingestion_date string, batch string, {REASON} string, {PAYLOAD} string, detected_at timestamp"
 BUCKET, ARRIVED = "_bucket", "_arrived"
+ATTEMPT = "_attempt"
+_PLAIN_NAME = re.compile(r"[\w.-]+")
 
 
 def bronze_path(root: str, source: str) -> str:
@@ -43,20 +47,35 @@ def write_checked(
     Bronze is partitioned by ingestion date, dead letters by source and ingestion date. An
     empty batch creates nothing. A day's batch is written without a shuffle; a ``backfill`` over
     many days is first gathered by partition, which AQE splits again where a day is large.
+
+    A batch that is written again replaces its rows in both zones, on every day it had: what a
+    corrected batch no longer holds is emptied after the write. Batch names are plain (letters,
+    digits, dot, dash and underscore).
     """
+    if not _PLAIN_NAME.fullmatch(batch):
+        raise ValueError(f"not a plain batch name: {batch!r}")
+    spark, attempt = checked.sparkSession, uuid.uuid4().hex
     accepted = F.col(REASON).isNull()
     rows = checked.select(
         *typed_columns(contract),
         PAYLOAD,
         REASON,
         F.when(~accepted, detected_at.cast("timestamp")).alias("detected_at"),
+        F.lit(attempt).alias(ATTEMPT),
         F.when(accepted, "bronze").otherwise("dlq").alias("zone"),
         F.lit(contract.source).alias("source"),
         ingestion_date.cast("string").alias("ingestion_date"),
         F.lit(batch).alias("batch"),
     )
     layout = ["zone", "source", "ingestion_date", "batch"]
+    before = matching_paths(spark, f"{root}/zone=*/source={contract.source}/ingestion_date=*/batch={batch}")
     replace_partitions(rows.hint("rebalance", *layout) if backfill else rows, root, layout)
+    if before:
+        now = spark.read.schema(f"zone string, ingestion_date string, {ATTEMPT} string").option("basePath", root).parquet(*before)
+        mine = F.max(F.coalesce(F.col(ATTEMPT) == attempt, F.lit(False)))
+        for zone, day in now.groupBy("zone", "ingestion_date").agg(mine.alias("mine")).where("not mine").drop("mine").collect():
+            path = f"{root}/zone={zone}/source={contract.source}/ingestion_date={day}/batch={batch}"  # at most the days of a batch
+            rows.drop(*layout).limit(0).write.mode("overwrite").parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
@@ -110,34 +129,80 @@ def merge_into(
     """Keyed merge into a Silver folder laid out in hash buckets of the key.
 
     Only the buckets that the source touches are read and rewritten (at most ``buckets``
-    numbers reach the driver to name them). Repeating the merge gives the same table, so a
-    run that dies half-way is simply run again. Choose ``buckets`` so that one bucket is a
-    few gigabytes; a table format with row-level MERGE replaces this function where present.
+    numbers reach the driver to name them). The merged buckets are first written beside the table
+    and then put in place: a run that dies before leaves the table as it was, one that dies
+    amid the switch is finished by :func:`finish_merge`, which every merge calls first. Choose
+    ``buckets`` so that one bucket is a few gigabytes; the number is stored with the table and
+    another one is refused. A table format with row-level MERGE replaces this function where present.
 
     An incoming row replaces a stored one, but with ``stays`` only if it is not behind it in that
     order: a batch that arrives late leaves newer rows alone.
     """
+    schema = T.StructType([*source.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    finish_merge(spark, path, schema)
+    _require_layout(spark, path, buckets)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     incoming = source.withColumn(BUCKET, bucket)
-    if path_exists(spark, path):
-        schema = T.StructType([*source.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]
-        target = spark.read.schema(schema).parquet(path).where(F.col(BUCKET).isin(touched))
-    else:
-        target = incoming.limit(0)
+    touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]
+    target = spark.read.schema(schema).parquet(path).where(F.col(BUCKET).isin(touched))
     if stays:
         both = target.withColumn(ARRIVED, F.lit(0)).unionByName(incoming.withColumn(ARRIVED, F.lit(1)))
         merged = first_per_key(both, keys, [*stays, F.col(ARRIVED).desc(), *order]).drop(ARRIVED)
     else:
         merged = upsert(target, incoming, keys, order)
     # Rebalancing lets AQE pick the file count: small buckets share a task, large ones are split.
-    replace_partitions(merged.hint("rebalance", BUCKET), path, [BUCKET])
+    _stage(merged.select(*schema.fieldNames()).hint("rebalance", BUCKET), path)
+    finish_merge(spark, path, schema)
+
+
+def _stage(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(f"{path}/_staged")
+
+
+def finish_merge(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Put completely staged buckets in place; doing it twice changes nothing. Spark's readers skip the staging folder."""
+    staged = f"{path}/_staged"
+    if path_exists(spark, f"{staged}/_SUCCESS") and path_exists(spark, f"{staged}/{BUCKET}=*"):
+        replace_partitions(spark.read.schema(schema).parquet(staged), path, [BUCKET])
+        _stage(spark.createDataFrame([], schema), path)
+
+
+def _require_layout(spark: SparkSession, path: str, buckets: int) -> None:
+    layout = f"{path}/_layout"
+    if path_exists(spark, f"{layout}/_SUCCESS"):
+        stored = spark.read.schema("buckets int").parquet(layout).first()["buckets"]
+        if stored != buckets:
+            raise ValueError(f"{path} is laid out in {stored} buckets, not {buckets}")
+    elif path_exists(spark, f"{path}/{BUCKET}=*"):
+        raise ValueError(f"{path} does not say in how many buckets it is laid out")
+    else:
+        spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(layout)
 
 
-def publish(df: DataFrame, table: str, path: str, comment: str, properties: Mapping[str, str]) -> None:
-    """Replace a product as an external table with its contract properties."""
-    spark = df.sparkSession
-    df.write.mode("overwrite").option("path", path).saveAsTable(table)
+def publish(
+    df: DataFrame,
+    table: str,
+    path: str,
+    comment: str,
+    properties: Mapping[str, str],
+    gate: Callable[[DataFrame], object] | None = None,
+) -> None:
+    """Replace a product, an external table, with its contract properties.
+
+    Every version gets a folder of its own below ``path``; ``gate`` sees the written rows and raises
+    to refuse them. The table's location is switched last, so readers by name see the old version or
+    the new one, whole. Only a version with other columns creates the table anew.
+    """
+    spark, version = df.sparkSession, f"{path}/{uuid.uuid4().hex}"
+    df.write.parquet(version)
+    written = spark.read.schema(df.schema).parquet(version)
+    if gate is not None:
+        gate(written)
+    if spark.catalog.tableExists(table) and spark.table(table).schema.simpleString() == df.schema.simpleString():
+        spark.sql("ALTER TABLE {} SET LOCATION '{}'".format(table, version.replace("'", "\\'")))
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, path=version, source="parquet", schema=df.schema)
     entries = {"quality": "gold", **properties, "comment": comment}
     listed = ", ".join("'{}' = '{}'".format(k, v.replace("'", "''")) for k, v in entries.items())
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")

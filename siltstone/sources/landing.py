@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 from siltstone.operators.contracts import PAYLOAD
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether any file matches a path or pattern, on whatever file system it names."""
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders that match a path or pattern, on whatever file system it names."""
     jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
+    target = jvm.org.apache.hadoop.fs.Path(pattern)
     found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
-    return found is not None and len(found) > 0
+    return [status.getPath().toString() for status in found or []]
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return bool(matching_paths(spark, path))
 
 
 def write_drops(df: DataFrame, base: str, day: Column) -> None:

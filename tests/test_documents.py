@@ -73,12 +73,11 @@ def brute_bm25(queries, texts, k):
     return result
 
 
-@pytest.mark.parametrize("block", [20_000, 3])
-def test_bm25_matches_brute_force(spark, block):
+def test_bm25_matches_brute_force(spark):
     texts, queries = corpus(), ["the w1 w2", "w3 w3 w9", "nothing here", texts_query()]
     docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(5)
     asked = spark.createDataFrame(list(enumerate(queries)), "query_id int, text string")
-    found = retrieval.bm25_topk(asked, retrieval.text_index(docs), k=6, block=block)
+    found = retrieval.bm25_topk(asked, retrieval.text_index(docs), k=6)
     assert {(r["query_id"], r["id"], r["rank"]) for r in found.collect()} == brute_bm25(queries, texts, 6)
 
 
@@ -141,6 +140,15 @@ def test_guardrails(spark, path, diff, reason):
     assert df.select(verdict(F.col("p"), F.col("d"))).first()[0] == reason
 
 
+def test_scores_print_in_full(spark):
+    from siltstone.functions.gates import outlier_query
+
+    numbers = [0.0004, 0.00012345678901234567, 4e-05, -1.25e-07, 0.0, -0.3, 12.5, 12345678.9, 1e7, 1e16, -2.5e120, float(2**53)]
+    rows = spark.createDataFrame([("T", v) for v in numbers], "t string, v double")
+    assert [r[0] for r in rows.select(outlier_query(F.col("t"), F.col("v"))).collect()] == [f"T anomaly_score={v}" for v in numbers]
+    assert rows.limit(1).select(outlier_query(F.col("t"), F.lit(None).cast("double"))).first()[0] == "T anomaly_score="
+
+
 def test_score_gate(spark):
     drafts = spark.createDataFrame(
         [("i1", "text", 2, 0.9, 0.85), ("i2", "text", 2, 0.3, 0.4), ("i3", "t", 1, float("nan"), 0.9), ("i4", "t", 1, None, 0.9)],

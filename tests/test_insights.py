@@ -92,6 +92,8 @@ def test_forest_finds_planted_outliers_whatever_the_partitioning(spark):
         sizes = [r["rows"] for r in nodes.where("node = 0").collect()]
         assert sizes == [128] * 30
         offset = forest.score_offset(df, nodes, names)
+        raw = [r["raw_score"] for r in forest.raw_scores(df, nodes, names).collect()]
+        assert offset.first()["offset"] == pytest.approx(np.quantile(raw, forest.CONTAMINATION), abs=1e-12)
         scored = forest.anomaly_scores(df, nodes, offset, names).collect()
         results.append({r["id"]: r["anomaly_score"] for r in scored})
     first, second = results

@@ -167,3 +167,15 @@ def test_an_exploded_side_is_measured_before_it_is_broadcast(spark):
     assert is_small(wide, 1000) and not is_small(wide, 999)
     long_texts = spark.range(70).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
     assert not is_small(long_texts)
+
+
+def test_rows_without_a_key_are_spread(spark):
+    from siltstone.operators.skew import hot_keys, salted_join
+
+    big = spark.createDataFrame([(None if i % 2 else i % 5, i) for i in range(200)], "k int, id long")
+    lookup = spark.createDataFrame([(0, "a"), (2, "b"), (None, "n")], "k int, v string")
+    assert {r["k"] for r in hot_keys(big, ["k"], 0.3).collect()} == {None}
+    for how in ("left", "inner"):
+        got = [(r["id"], r["v"]) for r in salted_join(big, lookup, ["k"], ["id"], how, 0.01).collect()]
+        plain = [(r["id"], r["v"]) for r in big.join(lookup, "k", how).collect()]
+        assert sorted(map(str, got)) == sorted(map(str, plain))

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from siltstone.operators.contracts import check
@@ -146,3 +147,54 @@ def test_publish_sets_properties(spark, tmp_path):
     assert properties["quality"] == "gold" and properties["contract_version"] == "1"
     assert spark.table("gold_test").count() == 1
     spark.sql("DROP TABLE gold_test")
+
+
+def test_corrected_batch_leaves_nothing_behind(spark, tmp_path):
+    root = str(tmp_path)
+    append(spark, root, "0", None)
+    append(spark, root, "1", "A", None)
+    append(spark, root, "1", "A", "B")  # corrected: nothing is refused any more
+    assert sorted(r["ticker"] for r in lake.read_bronze(spark, root, QUOTES).collect()) == ["A", "B"]
+    assert lake.read_dlq(spark, root).count() == 1
+    append(spark, root, "1", None)  # and the other way round
+    assert lake.read_bronze(spark, root, QUOTES).count() == 0 and lake.read_dlq(spark, root).count() == 2
+    append(spark, root, "1")  # an empty batch now
+    assert lake.read_dlq(spark, root).count() == 1
+    with pytest.raises(ValueError, match="batch name"):
+        append(spark, root, "*", "A")
+
+
+def test_merge_refuses_another_layout_and_survives_a_crash(spark, tmp_path, rows, monkeypatch):
+    path, order = str(tmp_path / "silver"), [F.col("v").desc()]
+    merge = lambda data, buckets=4: lake.merge_into(spark, spark.createDataFrame(data, "k int, v int"), path, ["k"], order, buckets)
+    merge([(k, k) for k in range(20)])
+    with pytest.raises(ValueError, match="4 buckets"):
+        merge([(1, 5)], buckets=8)
+    write = lake.replace_partitions
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(lake, "replace_partitions", crash)
+    with pytest.raises(RuntimeError):
+        merge([(3, 100)])
+    assert dict(rows(spark.read.parquet(path), "k", "v"))[3] == 3  # the old table is whole
+    monkeypatch.setattr(lake, "replace_partitions", write)
+    merge([(4, 200)])
+    table = dict(rows(spark.read.parquet(path), "k", "v"))
+    assert len(table) == 20 and table[3] == 100 and table[4] == 200
+
+
+def test_refused_version_is_not_published(spark, tmp_path):
+    def gate(written):
+        if written.count() > 1:
+            raise ValueError("refused")
+
+    publish = lambda n: lake.publish(spark.range(n), "gated_test", str(tmp_path / "g"), "c", {}, gate)
+    publish(1)
+    with pytest.raises(ValueError, match="refused"):
+        publish(2)
+    assert spark.table("gated_test").count() == 1
+    lake.publish(spark.range(3).selectExpr("id", "id + 1 AS more"), "gated_test", str(tmp_path / "g"), "c", {})
+    assert spark.table("gated_test").columns == ["id", "more"] and spark.table("gated_test").count() == 3
+    spark.sql("DROP TABLE gated_test")
