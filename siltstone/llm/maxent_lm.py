@@ -35,16 +35,16 @@ from siltstone.llm.common import id_and_text, stored
 
 END = "\n"  # no word holds a blank
 TABLE_WORDS = 1 << 17
-MODEL_WORDS = 2048
-CLASSES = 24
+MODEL_WORDS = 4096
+CLASSES = 32
 KINDS = 16
 ROUNDS = 2
 # Input splits that one update task passes over, so that updates are few beside the text they come from.
 _SPLITS_PER_UPDATE = 4
-_CONTEXT_ROWS = 4096
-_PAIR_ROWS = 8192
-_INNER_ROWS = 128
-_BATCH = 8192
+_CONTEXT_ROWS = 8192
+_PAIR_ROWS = 16384
+_INNER_ROWS = 256
+_BATCH = 4096
 _BLOCK_ROWS = 1024
 _FLUSH = 200_000
 _RATE = 0.25

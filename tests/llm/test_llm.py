@@ -184,6 +184,15 @@ def test_language_model_is_a_distribution():
     assert sum(each) + unknown == pytest.approx(1, abs=1e-5)
 
 
+def test_language_model_gives_4096_words_their_own_weights(spark):
+    rows = [(i, " ".join(f"w{k}" for k in range(i % 4, 3500, 4)), None, None, None, None, None, None) for i in range(40)]
+    train = spark.createDataFrame(rows, SCHEMA).select("text")
+    kinds = maxent_lm.word_kinds(train).cache()
+    model = maxent_lm.Model(maxent_lm.build_lexicon(kinds, kinds.groupBy("word").agg(F.sum("n").alias("n"))))
+    assert model.lexicon.model_words == 3501 and len(model.outer) == 3 * 8192 + 16384 and len(model.within) == 256
+    assert model.n_classes > 25  # the classes of words and that of all others
+
+
 def test_licences_are_inherited(spark):
     apache = "/* Licensed under the Apache License, Version 2.0. */\ncode"
     rows = [("a/LICENSE", "Released under the MIT License."), ("a/b/c/x.py", "code"), ("a/b/y.py", apache), ("z.py", None), ("a/b/q/r.py", ""), (None, "")]
