@@ -1,12 +1,15 @@
 """Main-text extraction by consensus paths of a host.
 
-Each page's containers are scored by the text of their blocks, less the text of links; the page
-votes for the generalised path (tags and classes, digits removed) of its best container. Votes are
-summed per host in Spark, and every page is extracted again through the winning paths of its host:
-all containers with the most voted path that the page has, or its own best one if it has none.
+Each page's containers are scored by the text of all blocks below them, blocks of links not counted.
+The page votes for the generalised path (tags and classes, digits removed) of the lowest containers
+that hold nearly all of it, and from there up to the wrapper below the body that misses none of
+what such wrappers hold; up to the body only for a heading. Votes are summed per host in Spark, and
+every page is extracted again through the winning paths of its host: all containers with the most
+voted path that the page has, or its own best one if it has none.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are
-left out wherever they stand. NULL and empty html give an empty text; pages without a host vote
+left out wherever they stand; a container is one of them by its element, role or a whole class or id,
+and by class or id only if it does not hold nearly all text of the page. NULL and empty html give an empty text; pages without a host vote
 together. Rows that repeat vote and are extracted one by one; empty tables give empty results;
 other columns are never read.
 """
@@ -24,6 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 WINNERS = 5
+NEARLY_ALL = 0.9
 
 # Element names of the HTML standard, and words that name what is not an article.
 _SILENT = frozenset("head title script style noscript template svg math textarea select button iframe object canvas audio video datalist".split())
@@ -34,34 +38,54 @@ _CONTAINERS = frozenset(
 _BLOCKS = _CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre th thead tfoot caption figcaption hr address hgroup legend summary option".split())
 _OUTSIDE = frozenset("nav header footer aside form menu dialog search fieldset".split())
 _OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-_OUTSIDE_WORDS = re.compile(
-    r"(?:^|[^a-z])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|comments?|commentlist|"
-    r"disqus|replies|respond|sidebar|side-bar|widget|share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|menu|nav|"
-    r"navbar|navigation|breadcrumbs?|footer|masthead|toolbar|login|signup|pagination|pager)(?:$|[^a-z])"
+_OUTSIDE_WORD = re.compile(
+    r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|comments?|commentlist|"
+    r"disqus|replies|respond|sidebar|widgets?|share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|menu|nav|"
+    r"navbar|navigation|breadcrumbs?|footer|masthead|toolbar|login|signup|pagination|pager"
 )
+_COMMENT_WORD = re.compile(r"comments?|commentlist")
+# words that may stand beside one of those in a class without another meaning
+_PLACE_WORDS = frozenset(
+    "site main page post posts entry blog article articles top bottom left right side primary secondary global mobile desktop header area "
+    "box bar list links link block container wrapper wrap inner outer section items item buttons button icons icon media title body text form row col".split()
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _BLANK = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 _RAW = frozenset({"script", "style"})
 
 
+def _says_outside(names: str, word: re.Pattern[str] = _OUTSIDE_WORD) -> bool:
+    """Whether a whole class or id names what is not an article: 'site-footer' does, 'has-sidebar' does not."""
+    for name in names.split():
+        parts = [x for x in re.split("[^a-z]+", name.replace("side-bar", "sidebar")) if x]
+        if any(map(word.fullmatch, parts)) and all(x in _PLACE_WORDS or _OUTSIDE_WORD.fullmatch(x) for x in parts):
+            return True
+    return False
+
+
 class _Page(HTMLParser):
     """Blocks of text, each with the container it stands in."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.paths, self.parents, self.outside, self.tags = [""], [-1], [False], [""]
+        self.by_name = [False]  # left out for a class or id
+        self.heading = False
         self.open = [0]
         self.silent: list[str] = []
         self.links = 0
         self.parts: list[str] = []
         self.link_chars = 0
         self.blocks: list[tuple[int, str, int]] = []
+        self.headings: list[bool] = []  # of the blocks
 
     def flush(self) -> None:
         if self.parts:
             text = _BLANK.sub(" ", "".join(self.parts)).strip()
             if text and not self.outside[self.open[-1]]:
                 self.blocks.append((self.open[-1], text, self.link_chars))
+                self.headings.append(self.heading)
             self.parts, self.link_chars = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -81,6 +105,7 @@ class _Page(HTMLParser):
             return
         self.flush()
         self.links = 0
+        self.heading = tag in _HEADINGS
         if tag in _CONTAINERS:
             given = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden")}
             names = f"{given.get('class', '')} {given.get('id', '')}".lower()
@@ -91,9 +116,10 @@ class _Page(HTMLParser):
             self.tags.append(tag)
             self.outside.append(
                 self.outside[parent] or tag in _OUTSIDE or given.get("role", "").lower() in _OUTSIDE_ROLES or "hidden" in given
-                or (tag not in ("html", "body", "main", "article") and bool(_OUTSIDE_WORDS.search(names)))
-                or (tag == "article" and "comment" in names)
             )
+            self.by_name.append(
+                (tag not in ("html", "body", "main", "article") and _says_outside(names)) or (tag == "article" and _says_outside(names, _COMMENT_WORD))
+            )
             self.open.append(len(self.paths) - 1)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -112,6 +138,7 @@ class _Page(HTMLParser):
             self.links = max(self.links - 1, 0)
         elif tag in _BLOCKS:
             self.flush()
+            self.heading = False
             if tag in _CONTAINERS:
                 for at in range(len(self.open) - 1, 0, -1):
                     if self.tags[self.open[at]] == tag:
@@ -125,34 +152,71 @@ class _Page(HTMLParser):
                 self.link_chars += len(data)
 
 
+    def leave_out_named(self) -> None:
+        """Drop the blocks of containers left out for a class or id, but for those that hold nearly all text."""
+        held = [0] * len(self.paths)
+        for at, text, _ in self.blocks:
+            held[at] += len(text)
+        for at in range(len(held) - 1, 0, -1):
+            held[self.parents[at]] += held[at]
+        for at in range(1, len(held)):
+            self.outside[at] |= self.outside[self.parents[at]] or (self.by_name[at] and held[at] < NEARLY_ALL * held[0])
+        kept = [i for i, (at, _, _) in enumerate(self.blocks) if not self.outside[at]]
+        self.blocks, self.headings = [self.blocks[i] for i in kept], [self.headings[i] for i in kept]
+
+
 def parse(html: str) -> _Page:
     page = _Page()
     page.feed(html)
     page.close()
     page.flush()
+    page.leave_out_named()
     return page
 
 
-def container_scores(page: _Page) -> dict[int, float]:
-    """Score of each container: its blocks' text less twice their links' text, half of it for the parent."""
-    scores: dict[int, float] = {}
-    for at, text, link_chars in page.blocks:
-        value = len(text) - 2.0 * link_chars
-        scores[at] = scores.get(at, 0.0) + value
-        parent = page.parents[at]
-        if parent > 0:
-            scores[parent] = scores.get(parent, 0.0) + value / 2
-    return scores
+def path_scores(page: _Page) -> tuple[dict[str, float], dict[str, int], dict[str, str], set[str]]:
+    """Of each path: the text of all blocks below it, less twice their links' text, if that is positive, and the number
+    of headings; its depth first, so that the lowest comes last; its parent path; the paths of html and body."""
+    value, heads = [0.0] * len(page.paths), [0] * len(page.paths)
+    for (at, text, link_chars), heading in zip(page.blocks, page.headings, strict=True):
+        value[at] += max(len(text) - 2.0 * link_chars, 0.0)
+        heads[at] += heading
+    if not any(value):  # a page of links only
+        for at, text, _ in page.blocks:
+            value[at] += len(text)
+    for at in range(len(value) - 1, 0, -1):
+        value[page.parents[at]] += value[at]
+        heads[page.parents[at]] += heads[at]
+    scores: dict[str, float] = {}
+    headings: dict[str, int] = {}
+    above: dict[str, str] = {}
+    top = {""}
+    for at, path in enumerate(page.paths):  # a path is longer than its parent's: containers of one path are never nested
+        if not page.outside[at]:
+            scores[path] = scores.get(path, 0.0) + value[at]
+            headings[path] = headings.get(path, 0) + heads[at]
+            above[path] = page.paths[page.parents[at]] if at else ""
+            if page.tags[at] in ("html", "body"):
+                top.add(path)
+    return scores, headings, above, top
 
 
 def best_path(page: _Page) -> tuple[str, float] | None:
-    """Path of the best container, where containers of one path count together; the shorter path wins a tie."""
-    by_path: Counter[str] = Counter()
-    for at, score in container_scores(page).items():
-        by_path[page.paths[at]] += score
-    if not by_path:
+    """The path to vote for and its score, where containers of one path count together."""
+    if not page.blocks:
         return None
-    return min(by_path.items(), key=lambda x: (-x[1], len(x[0]), x[0]))
+    scores, headings, above, top = path_scores(page)
+    path = max((x for x, n in scores.items() if n >= NEARLY_ALL * scores[""]), key=lambda x: (x.count("/"), scores[x], x))
+    up, wrapper = path, path
+    while up not in top:  # the lowest wrapper that holds what the highest one holds
+        if scores[up] > scores[wrapper] or headings[up] > headings[wrapper]:
+            wrapper = up
+        up = above[up]
+    while up:  # html or body
+        if headings[up] > headings[wrapper]:
+            wrapper = up
+        up = above[up]
+    return wrapper, scores[wrapper]
 
 
 def extract(html: str, winners: list[str]) -> str:

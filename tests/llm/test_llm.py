@@ -155,6 +155,19 @@ def test_html_main_text(spark):
     assert html_consensus.extract_pages(pages.where("false")).count() == 0
 
 
+def test_html_loses_no_part_of_an_article():
+    text = lambda n, word="word": (word + " ") * (n // (len(word) + 1))
+    lead = f"<article><h1>Title here</h1><p>The lead.</p><div class=body><p>{text(3000)}</p><p>{text(900)}</p></div></article>"
+    sections = f"<article><section class=a><p>{text(300, 'first')}</p></section><section class=b><p>{text(700, 'second')}</p></section></article>"
+    wrapped = f"<div class=post><div class=lead>Short lead.</div><div class=body>{text(5000)}</div></div>"
+    for shown, parts in ((lead, ("Title here", "The lead.", "word")), (sections, ("first", "second")), (wrapped, ("Short lead.", "word"))):
+        for names in ("content has-sidebar", "post no-comments", "layout with-menu", "social-science", "sidebar"):
+            html = f"<html><body><div class='{names}'>{shown}</div><div class='site-footer'>imprint</div><ul class=x><li><a href=/>more links</a></li></ul></body></html>"
+            path = html_consensus.best_path(html_consensus.parse(html))[0]
+            found = html_consensus.extract(html, [path])
+            assert all(x in found for x in parts) and "imprint" not in found and "links" not in found
+
+
 def test_language_model_base_and_probabilities(docs, empty):
     found = maxent_lm.language_model(docs).collect()
     tokens = lambda t: [*(t or "").encode().lower().split(), None]
