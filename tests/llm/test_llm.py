@@ -217,6 +217,25 @@ def test_licences_are_inherited(spark):
     assert licenses.scan(files.where("false"), "k", "path").count() == 0
 
 
+def test_licences_of_wrapped_and_inner_notices(spark):
+    wrap = lambda text, mark="# ", n=9: "\n".join(mark + " ".join(text.split()[i : i + n]) for i in range(0, len(text.split()), n))
+    gnu = {kind[0]: licenses._GNU.format(*kind[1:], ";", ";") for kind in licenses._GNU_KINDS}
+    texts = {
+        "MIT": "Copyright (c) 2020 Someone\n\n" + wrap(f"{licenses._MIT} {licenses._AS_IS}", ""),
+        "BSD-3-Clause": "// Copyright (c) 2020 Someone\n// All rights reserved.\n//\n" + wrap(f"{licenses._BSD} {licenses._BSD_3} {licenses._BSD_AS_IS}", "// "),
+        "BSD-2-Clause": wrap(f"{licenses._BSD} {licenses._BSD_AS_IS}", " * "),
+        "ISC": wrap(licenses._ISC, "-- "),
+        "Apache-2.0": "import os  # the code of this file is, as all of our project, Licensed under the Apache License, Version 2.0. and it goes on with other words",
+        **{name: wrap(text) for name, text in gnu.items()},
+    }
+    files = spark.createDataFrame([(name, f"{name}/x.py", f"code\n{text}\nmore code = 1") for name, text in texts.items()], "k string, path string, text string")
+    assert {r.doc_id: r.own_licence for r in licenses.scan(files, "k", "path").collect()} == {name: name for name in texts}
+    notices = spark.createDataFrame([(text,) for _, text in licenses.NOTICES], "text string")
+    assert notices.where(~F.col("text").rlike(licenses.NAMES_NOTICE)).count() == 0
+    plain = spark.createDataFrame([(1, "a", "permission was given by the owner of this copyright for a walk")], "k long, path string, text string")
+    assert licenses.scan(plain, "k", "path").first().own_licence is None
+
+
 def test_toxicity_on_held_out_rows(spark, docs, empty):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
