@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from siltstone.llm import licenses
 from siltstone.llm.byte_bpe import decode, encode
 from siltstone.llm.chosen_path import jaccard_join
+from siltstone.llm.collocations import collocations, collocations_sql
+from siltstone.llm.compression_quality import compression_quality
 from siltstone.llm.decontaminate import decontaminate
 from siltstone.llm.exact_dedup import exact_dedup
 from siltstone.llm.html_consensus import extract_pages
@@ -81,6 +83,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,10 +104,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_line_dedup,
         op10_toxicity,
+        op11_compression_quality,
+        op12_collocations,
     )
 }
 
 SQL: dict[str, str] = {
+    "op12_collocations": collocations_sql(),
     "op2_license_scan": licenses.scan_sql(
         """(SELECT *, regexp_replace(concat_ws('/', coalesce(source, 'none'), substr(cast(doc_id AS varchar), 1, 1),
                 substr(cast(doc_id AS varchar), 2, 1), substr(cast(doc_id AS varchar), 3)), '/+$', '') AS path FROM documents)""",
