@@ -18,11 +18,13 @@ from siltstone.llm.exact_dedup import exact_dedup
 from siltstone.llm.html_consensus import extract_pages
 from siltstone.llm.line_dedup import line_dedup
 from siltstone.llm.maxent_lm import language_model
+from siltstone.llm.token_alignment import token_alignment
 from siltstone.llm.token_counts import token_counts
 from siltstone.llm.toxicity import toxicity
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +93,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(read(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(PIECE_MODEL))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_toxicity,
         op11_compression_quality,
         op12_collocations,
+        op13_token_alignment,
     )
 }
 
