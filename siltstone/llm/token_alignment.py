@@ -28,7 +28,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -53,6 +53,11 @@ _KEYS = 1 << 21
 # Input splits of a counting task, so that count vectors are few beside the documents they come from.
 _SPLITS_PER_TASK = 4
 
+# Longer stretches go to the tokenizers library, whose cost grows more slowly with their length.
+_SHORT = 256
+# Fixed value: the split pattern of byte-level pre-tokenizers.
+_BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 _PLAIN = re.compile(r" ?[^ \n]+| |\n")
 _NOT_PLAIN = re.compile(r"\s\s|[^\S \n]")
 _CUT = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
@@ -72,8 +77,13 @@ def _byte_signs() -> dict[str, int]:
 
 @lru_cache(maxsize=2)
 def load_a(path: str):
-    """(tokenizer, bytes of each id) of a byte-level BPE; strings of special tokens are ordinary text."""
+    """(encoder of a list of stretches, bytes of each id) of a byte-level BPE; strings of special tokens are ordinary text.
+
+    Merges whose results are numbered in order of merging rank like those results, which is proved here;
+    such a vocabulary serves as ranks to the tiktoken library, which is faster on short stretches.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
+    import tiktoken
     from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as file:
@@ -86,7 +96,17 @@ def load_a(path: str):
     pieces = [b""] * (max(spec["model"]["vocab"].values()) + 1)
     for entry, number in spec["model"]["vocab"].items():
         pieces[number] = bytes(signs[c] for c in entry) if all(c in signs for c in entry) else b""
-    return tokenizer, pieces
+    vocabulary, special = spec["model"]["vocab"], {t["content"] for t in spec["added_tokens"]}
+    merged = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in spec["model"]["merges"]]
+    ranks = {pieces[number]: number for entry, number in vocabulary.items() if entry not in special}
+    if merged != sorted(set(merged)) or len(ranks) != len(merged) + 256:
+        return lambda parts: [e.ids for e in tokenizer.encode_batch(parts, add_special_tokens=False)], pieces
+    short = tiktoken.Encoding("ranks", pat_str=_BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def encode(parts: list[str]) -> list[list[int]]:
+        return [short(p) if len(p) <= _SHORT else tokenizer.encode(p, add_special_tokens=False).ids for p in parts]
+
+    return encode, pieces
 
 
 @lru_cache(maxsize=2)
@@ -143,6 +163,7 @@ class _Stretches(dict):
         super().__init__()
         self.a, self.a_bytes = load_a(a_path)
         self.b, self.b_bytes = load_b(b_path)
+        self.a_sizes, self.b_sizes = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
         self.restart()
 
     def restart(self) -> None:
@@ -152,16 +173,14 @@ class _Stretches(dict):
         self.written: list[bytes | None] = []  # None: not given back byte for byte
 
     def learn(self, new: list[str]) -> None:
-        a_ids = [e.ids for e in self.a.encode_batch(new, add_special_tokens=False)]
-        b_ids = self.b.encode(new, num_threads=1)
+        a_ids, b_ids = self.a(new), self.b.encode(new, num_threads=1)
         for side, lists in zip(self.sides, (a_ids, b_ids), strict=True):
             side.extend(lists)
         all_groups = []
         for stretch, a, b in zip(new, a_ids, b_ids, strict=True):
             whole = stretch.encode()
-            a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            same = b"".join(a_parts) == whole and b"".join(b_parts) == whole
-            groups, written = _groups(a, b, list(map(len, a_parts)), list(map(len, b_parts))) if same else (0, None)
+            same = b"".join(map(self.a_bytes.__getitem__, a)) == whole and b"".join(map(self.b_bytes.__getitem__, b)) == whole
+            groups, written = _groups(a, b, self.a_sizes, self.b_sizes) if same else (0, None)
             self[stretch] = len(self.written)
             all_groups.append(groups)
             self.written.append(written)
@@ -173,18 +192,27 @@ class _Stretches(dict):
 
 
 def _groups(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) -> tuple[int, bytes]:
-    """The least runs of A and B tokens that end at the same byte, and their text."""
-    out, i, j, a_end, b_end = [], 0, 0, 0, 0
-    while i < len(a):
-        first_a, first_b = i, j
-        a_end, b_end = a_end + a_sizes[i], b_end + b_sizes[j]
-        i, j = i + 1, j + 1
+    """The least runs of A and B tokens that end at the same byte, and their text; both sides have the same bytes."""
+    out, a_end, b_end = [], 0, 0
+    rest_a, rest_b = iter(a), iter(b)
+    for x in rest_a:
+        y = next(rest_b)
+        a_end += a_sizes[x]
+        b_end += b_sizes[y]
+        if a_end == b_end:
+            out.append(f"{x}|{y}")
+            continue
+        left, right = str(x), str(y)
         while a_end != b_end:
             if a_end < b_end:
-                a_end, i = a_end + a_sizes[i], i + 1
+                x = next(rest_a)
+                a_end += a_sizes[x]
+                left += f",{x}"
             else:
-                b_end, j = b_end + b_sizes[j], j + 1
-        out.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
+                y = next(rest_b)
+                b_end += b_sizes[y]
+                right += f",{y}"
+        out.append(f"{left}|{right}")
     return len(out), ";".join(out).encode()
 
 
@@ -207,16 +235,17 @@ def encode_both(df: DataFrame, a_path: str, b_path: str, key: str = "doc_id", te
                 if memory.full:
                     memory.restart()
                 parts = [stretches(" " + t) if t else [] for t in rows["text"].to_pylist()]
-                new = list(dict.fromkeys(s for own_parts in parts for s in own_parts if s not in memory))
+                new = [s for s in set(chain.from_iterable(parts)) if s not in memory]
                 if new:
                     memory.learn(new)
                 out: list[tuple] = []
                 for own_parts in parts:
-                    numbers = np.fromiter(map(memory.__getitem__, own_parts), np.int64, len(own_parts))
-                    written = [memory.written[i] for i in numbers.tolist()]
+                    found = list(map(memory.__getitem__, own_parts))
+                    written = list(map(memory.written.__getitem__, found))
                     if not written or None in written:
                         out.append((0, 0, 0, 0, "", b"", b""))
                         continue
+                    numbers = np.array(found, np.int64)
                     a, b = (side.gather(numbers) for side in memory.sides)
                     n_a, n_b, n_groups = len(a) // 2, len(b) // 2, int(memory.groups.room[numbers].sum())
                     # each stretch between neighbouring ends of either side is one link
