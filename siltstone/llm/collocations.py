@@ -36,14 +36,13 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.byte_bpe import TABLE_WORD_BYTES
 from siltstone.llm.common import stored, whole_text
-from siltstone.operators.skew import lookup_join
 
 TABLE_SIZE = 1 << 18
 FILTER_BITS = 1 << 23
 TILE = 512
 # Tile (i, j) is dense where (i + 1) * (j + 1) is at most this.
 DENSE = 8
-_FLUSH = 200_000
+_FLUSH = 400_000
 _PAIRS = 1 << 20
 _RUNS = 3 << 20
 _REMEMBERED = 300_000
@@ -67,25 +66,28 @@ def by_language(df: DataFrame, lang: str, text: str) -> DataFrame:
 def word_counts(texts: DataFrame) -> DataFrame:
     """(lang, phrase, n) of single words; each task sends what it has counted whenever its memory is full."""
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, Counter] = defaultdict(Counter)
 
-        def rows() -> pd.DataFrame:
-            for own in seen.values():
+        def rows() -> Iterator[pa.RecordBatch]:
+            for lang, own in seen.items():
                 own.pop(_BORDER, None)
-            made = pd.DataFrame([(lang, w.decode(), n) for lang, own in seen.items() for w, n in own.items()], columns=["lang", "phrase", "n"])
+                words = pa.array(list(own), pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(own), pa.string()), words, pa.array(list(own.values()), pa.int64())], ["lang", "phrase", "n"]
+                )
             seen.clear()
-            return made
 
-        for frame in frames:
-            for at, (lang, text) in enumerate(zip(frame["lang"], frame["text"], strict=True)):
-                seen[lang].update(words_of(text))
-                if at % 64 == 63 and sum(map(len, seen.values())) >= _FLUSH:
-                    yield rows()
-        if seen:
-            yield rows()
+        for batch in batches:
+            for part in range(0, len(batch), 64):
+                some = batch.slice(part, 64)
+                for lang, text in zip(some["lang"].to_pylist(), some["text"].to_pylist(), strict=True):
+                    seen[lang].update(words_of(text))
+                if sum(map(len, seen.values())) >= _FLUSH:
+                    yield from rows()
+        yield from rows()
 
-    return texts.mapInPandas(count, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(count, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def _mix(left: Column, right: Column) -> Column:
@@ -425,6 +427,51 @@ def _joined(words: Column, start: Column | int, size: Column | int) -> Column:
     return F.array_join(F.slice(words, start, size), " ")
 
 
+def _score(a: Column, left: Column, right: Column) -> Column:
+    big = "decimal(19,0)"
+    over = (a.cast(big) * a.cast(big) * F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(38,0)")
+    return F.call_function("div", over, (left.cast(big) * right.cast(big)).cast("decimal(38,0)"))
+
+
+def _cuts(candidates: DataFrame) -> DataFrame:
+    """(lang, phrase, a, k, side, part): both parts, l and r, of each cut after the first k words."""
+    words, k = F.split("phrase", " "), F.col("k")
+    cut = candidates.select("lang", "phrase", "size", F.col("n").alias("a"), F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
+    sides = F.array(
+        F.struct(F.lit("l").alias("side"), _joined(words, 1, k).alias("part")), F.struct(F.lit("r").alias("side"), _joined(words, k + 1, F.col("size")).alias("part"))
+    )
+    return cut.select("lang", "phrase", "a", "k", F.inline(sides))
+
+
+def _with_counts(parts: DataFrame, phrases: DataFrame, words: DataFrame, totals: DataFrame) -> DataFrame:
+    """``parts`` with the count n of each part.
+
+    A word that holds over a thousandth of all words stands in many phrases: its rows are dealt to
+    slices. All counts add up to the total, so there are fewer than a thousand such words.
+    """
+    border = F.greatest(totals.agg(F.sum("total")).scalar() / 1000, F.lit(100_000))
+    hot = words.withColumn("border", border).where(F.col("n") > F.col("border"))
+    hot = hot.select(F.col("lang").alias("hot_lang"), F.col("phrase").alias("hot"), F.ceil(F.col("n") / F.col("border")).cast("int").alias("slices"))
+
+    def sliced(df: DataFrame, text: str) -> DataFrame:
+        return df.join(F.broadcast(hot), (df["lang"] == hot["hot_lang"]) & (df[text] == hot["hot"]), "left").drop("hot_lang", "hot")
+
+    slices = F.coalesce("slices", F.lit(1))
+    left = sliced(parts, "part").withColumn("slice", F.pmod(F.xxhash64("phrase", "k"), slices).cast("int")).drop("slices")
+    lookup = sliced(phrases.select("lang", F.col("phrase").alias("part"), "n"), "part")
+    lookup = lookup.withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("slices")
+    return left.join(lookup, ["lang", "part", "slice"])
+
+
+def _inside(candidates: DataFrame) -> DataFrame:
+    """(lang, phrase, longer): the phrases of two words and more inside longer candidates, with the count of those."""
+    words, size = F.split("phrase", " "), F.col("size")
+    spots = F.flatten(
+        F.transform(F.sequence(F.lit(2), size - 1), lambda s: F.transform(F.sequence(F.lit(1), size - s + 1), lambda i: _joined(words, i, s)))
+    )
+    return candidates.where("size > 2").select("lang", F.explode(spots).alias("phrase"), F.col("n").alias("longer"))
+
+
 def collocations(
     df: DataFrame,
     max_words: int = 3,
@@ -442,29 +489,16 @@ def collocations(
     ``inside_percent`` per cent of its count.
     """
     found, totals = frequent_phrases(by_language(df, lang, text), max_words, least, table_size)
-    phrases = reduce(DataFrame.unionByName, found)
     candidates = stored(reduce(DataFrame.unionByName, [f.withColumn("size", F.lit(i + 2)) for i, f in enumerate(found[1:])]), "phrase-candidates")
-    words = F.split("phrase", " ")
-    cuts = candidates.select("lang", "phrase", "size", F.col("n").alias("a"), F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
-    cuts = cuts.withColumn("left", _joined(words, 1, F.col("k"))).withColumn("right", _joined(words, F.col("k") + 1, F.col("size")))
-    # the same first or last word may stand in a large share of all phrases: hot keys are cut into slices
-    cuts = stored(cuts, "phrase-cuts")
-    for side, count in (("left", "l"), ("right", "r")):
-        lookup = phrases.select("lang", F.col("phrase").alias(side), F.col("n").alias(count))
-        cuts = lookup_join(cuts, lookup, ["lang", side], ["phrase", "k"])
-    big = "decimal(19,0)"
-    over = F.col("a").cast(big) * F.col("a").cast(big) * F.lit(1_000_000).cast("decimal(7,0)")
-    under = F.col("l").cast(big) * F.col("r").cast(big)
-    cuts = cuts.withColumn("over", over.cast("decimal(38,0)")).withColumn("under", under.cast("decimal(38,0)"))
-    cuts = cuts.withColumn("score", F.expr("over div under"))
-    lowest = F.min(F.struct("score", "k", "l", "r")).alias("low")
-    scored = cuts.groupBy("lang", "phrase", "a").agg(lowest).select("lang", "phrase", "a", "low.score", "low.l", "low.r")
-    # the largest count of a longer candidate around each phrase
-    spots = F.flatten(
-        F.transform(F.sequence(F.lit(2), F.col("size") - 1), lambda s: F.transform(F.sequence(F.lit(1), F.col("size") - s + 1), lambda i: _joined(words, i, s)))
-    )
-    longer = candidates.where("size > 2").select("lang", F.explode(spots).alias("phrase"), "n").groupBy("lang", "phrase").agg(F.max("n").alias("longer"))
-    kept = scored.join(longer, ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("longer") < inside_percent * F.col("a"), F.lit(True)))
+    parts = _with_counts(_cuts(candidates), reduce(DataFrame.unionByName, found), found[0], totals)
+    sides = [F.max(F.when((F.col("k") == k) & (F.col("side") == side), F.col("n"))).alias(f"{side}{k}") for k in range(1, max_words) for side in "lr"]
+    whole = parts.select("lang", "phrase", "a", "k", "side", "n", F.lit(None).cast("long").alias("longer")).unionByName(_inside(candidates), allowMissingColumns=True)
+    joined = whole.groupBy("lang", "phrase").agg(F.max("a").alias("a"), F.max("longer").alias("longer"), *sides)
+    # whole numbers of up to 38 digits; equal scores go to the shortest first part
+    cuts = [F.struct(_score(F.col("a"), F.col(f"l{k}"), F.col(f"r{k}")).alias("score"), F.lit(k).alias("k"), F.col(f"l{k}").alias("l"), F.col(f"r{k}").alias("r")) for k in range(1, max_words)]
+    low = F.array_min(F.filter(F.array(*cuts), lambda c: c["score"].isNotNull()))
+    kept = joined.where(F.coalesce(100 * F.col("longer") < inside_percent * F.col("a"), F.lit(True)))
+    kept = kept.select("lang", "phrase", "a", low.alias("low")).select("lang", "phrase", "a", "low.score", "low.l", "low.r")
     # the best of each slice first, so that no task orders more than a bounded number of rows of a language
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
     some = kept.withColumn("slice", F.pmod(F.xxhash64("phrase"), F.lit(16)))
