@@ -44,7 +44,7 @@ TILE = 512
 DENSE = 8
 _FLUSH = 400_000
 _PAIRS = 1 << 20
-_RUNS = 3 << 20
+_RUNS = 2 << 20
 _REMEMBERED = 300_000
 _BLOCK = 1 << 16
 _MIX = 1_540_483_477  # below 2^31, so that a product with 32 bits fits a signed long
@@ -166,7 +166,10 @@ class Tiles:
         if near.any():
             address = (slot[near] * TILE + left[near] % TILE) * TILE + right[near] % TILE
             found = np.bincount(address, minlength=len(self.corner) * TILE * TILE)
-            self.dense = found if self.dense is None else self.dense + found
+            if self.dense is None:
+                self.dense = found
+            else:
+                self.dense += found
         codes, counts = np.unique(left[~near] << _WORD_BITS | right[~near], return_counts=True)
         self.codes.append(codes)
         self.counts.append(counts)

@@ -140,7 +140,7 @@ def sample(docs: DataFrame, labels: DataFrame, most_rows: int) -> DataFrame:
     for label, n in totals.items():
         share = F.when(F.col("label") == label, F.lit(min(1.0, 0.97 * most_rows / n))).otherwise(share)
     chosen = usable.withColumn("share", share).where(spot < F.col("share") * 1_000_000)
-    chosen = chosen.select(F.col("doc_id").alias("_label_id"), "label", (1 / F.col("share")).alias("weight"))
+    chosen = chosen.select(F.col("doc_id").alias("_label_id"), "label", (1 / F.greatest(F.col("share"), F.lit(1e-12))).alias("weight"))
     # at most twice ``most_rows`` ids: the documents are not shuffled
     found = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_label_id"])
     part = F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(_PARTS)).cast("int")
@@ -154,7 +154,6 @@ def dictionaries(train: DataFrame, most_pieces: int = MOST_PIECES) -> dict[int,
     def pieces(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: cut(t, PIECE_BYTES))
 
-    # dealt out anew: few files hold the sample
     cuts = train.select("label", F.explode(pieces("text")).alias("piece")).withColumn("spot", F.pmod(F.xxhash64("piece"), F.lit(1_000_000)))
     cuts = stored(cuts, "quality-pieces")
     totals = {r["label"]: r["n"] for r in cuts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
