@@ -15,6 +15,7 @@ SENSITIVE_KEY = r"(authorization|cookie|password|secret|token|api[_-]?key|email)
 BEARER = r"Bearer\s+[A-Za-z0-9._~+/=-]+"
 MASK = "[REDACTED]"
 BEARER_MASK = "Bearer [REDACTED]"
+MALFORMED = "malformed_json"
 
 _KEY = re.compile(SENSITIVE_KEY, re.IGNORECASE)
 _BEARER = re.compile(BEARER, re.IGNORECASE)
@@ -34,6 +35,8 @@ def mask_column(value: Column, kind: T.DataType, key: str = "") -> Column:
         return F.lit(MASK)
     if isinstance(kind, T.StringType):
         return mask_bearer(value)
+    if isinstance(kind, T.VariantType):  # of unknown shape, like free-form JSON
+        return F.parse_json(redact_json(F.to_json(value)))
     if isinstance(kind, T.StructType):
         fields = [mask_column(value.getField(f.name), f.dataType, f.name).alias(f.name) for f in kind.fields]
         return F.when(value.isNotNull(), F.struct(*fields))
@@ -68,10 +71,27 @@ def _mask_pairs(pairs):
     return {k: MASK if _KEY.search(k) else _clean(v) for k, v in pairs}
 
 
-@F.pandas_udf(T.StringType())
-def redact_json(texts: pd.Series) -> pd.Series:
-    """Mask JSON text of unknown shape: the parser calls the hook innermost object first."""
-    return texts.map(
-        lambda t: json.dumps(_clean(json.loads(t, object_pairs_hook=_mask_pairs)), ensure_ascii=False),
-        na_action="ignore",
-    )
+def _masked(text: str | None) -> tuple[str | None, str | None]:
+    if text is None:
+        return None, None
+    try:
+        return json.dumps(_clean(json.loads(text, object_pairs_hook=_mask_pairs)), ensure_ascii=False), None
+    except (ValueError, RecursionError):  # no JSON, or nested beyond reason
+        return MASK, MALFORMED
+
+
+_CHECKED = T.StructType([T.StructField("masked", T.StringType()), T.StructField("reason", T.StringType())])
+
+
+@F.pandas_udf(_CHECKED)
+def redact_json_checked(texts: pd.Series) -> pd.DataFrame:
+    """Mask JSON text of unknown shape, row by row: the parser calls the hook innermost object first.
+
+    Text that cannot be read is masked as a whole and has a reason; NULL stays NULL.
+    """
+    return pd.DataFrame([_masked(t) for t in texts], columns=["masked", "reason"], dtype=object)
+
+
+def redact_json(text: Column | str) -> Column:
+    """The masked text alone."""
+    return redact_json_checked(text)["masked"]

@@ -32,8 +32,11 @@ def relative_change(now: Column, before: Column) -> Column:
     return F.coalesce(change, F.lit(0.0))
 
 
-def price_change(quotes: DataFrame, tiebreak: tuple[str, ...] = (), partitions: int | None = None) -> DataFrame:
-    """Change of price against the ticker's previous quote; the first quote gives 0."""
+def price_change(quotes: DataFrame, tiebreak: tuple[str, ...], partitions: int | None = None) -> DataFrame:
+    """Change of price against the ticker's previous quote; the first quote gives 0.
+
+    ``tiebreak`` columns order quotes of one ticker and instant, so that runs agree.
+    """
     lagged = lag_by_key(quotes, "ticker", ["quote_timestamp", *tiebreak], "price", "_previous", partitions)
     change = relative_change(F.col("price"), F.col("_previous"))
     return lagged.withColumn("price_change_pct", change).drop("_previous")
@@ -42,7 +45,7 @@ def price_change(quotes: DataFrame, tiebreak: tuple[str, ...] = (), partitions:
 def build_features(
     quotes: DataFrame,
     sales: DataFrame,
-    tiebreak: tuple[str, ...] = (),
+    tiebreak: tuple[str, ...],
     partitions: int | None = None,
 ) -> DataFrame:
     """Quotes and lost sales paired by position, cut to the shorter side, gaps filled with 0.

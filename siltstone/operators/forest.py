@@ -16,7 +16,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.operators.ordering import sorted_partitions
+from siltstone.operators.ordering import value_at_rank
+from siltstone.session import cut_lineage
 
 # Trees, rows per tree, share flagged as anomalies, seed.
 TREES = 100
@@ -128,26 +129,25 @@ def raw_scores(df: DataFrame, nodes: DataFrame, features: Sequence[str], output:
     return df.withColumn(output, score(*[F.col(f).cast("double") for f in features]))
 
 
-def score_offset(train: DataFrame, nodes: DataFrame, features: Sequence[str], contamination: float = CONTAMINATION) -> DataFrame:
-    """One row, fixed at training time: the exact ``contamination`` quantile of the training scores.
+def offset_of(scored: DataFrame, contamination: float = CONTAMINATION, score: str = "raw_score") -> float:
+    """The exact ``contamination`` quantile of stored scores, interpolated between two ranks; 0 without rows."""
+    total = scored.where(F.col(score).isNotNull()).count()
+    at = max(total - 1, 0) * contamination
+    found = value_at_rank(scored, score, math.floor(at))
+    if found is None:
+        return 0.0
+    low, below = found
+    if at == math.floor(at):
+        return low
+    same = scored.where(F.col(score) == low).count()
+    high = low if math.ceil(at) < below + same else scored.where(F.col(score) > low).agg(F.min(score)).first()[0]
+    return low + (high - low) * (at - math.floor(at))
 
-    Between two ranks it is interpolated. Equal scores are counted before they are ordered.
-    """
-    counted = raw_scores(train, nodes, features).groupBy("raw_score").agg(F.count("*").alias("_n"))
-    slices = sorted_partitions(counted, ["raw_score"])
-    before = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)  # one row per partition
-    starts = slices.groupBy("_slice").agg(F.sum("_n").alias("_rows")).select(
-        "_slice",
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
-        ((F.sum("_rows").over(W.partitionBy()) - 1) * contamination).alias("_at"),
-    )
-    inside = W.partitionBy("_slice").orderBy("_place").rowsBetween(W.unboundedPreceding, -1)
-    first = F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
-    ranked = slices.join(starts.hint("broadcast"), "_slice").withColumn("_first", first)
-    low = F.max(F.when(F.col("_first") <= F.floor("_at"), F.col("raw_score")))
-    high = F.max(F.when(F.col("_first") <= F.ceil("_at"), F.col("raw_score")))
-    part = F.max(F.col("_at") - F.floor("_at"))
-    return ranked.agg((low + (high - low) * part).alias("offset"))
+
+def score_offset(train: DataFrame, nodes: DataFrame, features: Sequence[str], contamination: float = CONTAMINATION) -> DataFrame:
+    """One row, fixed at training time: the exact ``contamination`` quantile of the training scores."""
+    scored = cut_lineage(raw_scores(train, nodes, features).select("raw_score"))
+    return train.sparkSession.createDataFrame([(offset_of(scored, contamination),)], "offset double")
 
 
 def anomaly_scores(df: DataFrame, nodes: DataFrame, offset: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -156,6 +156,15 @@ def anomaly_scores(df: DataFrame, nodes: DataFrame, offset: DataFrame, features:
     return scored.withColumn("anomaly_score", F.col("raw_score") - offset.scalar()).drop("raw_score")
 
 
+def fit_and_score(
+    df: DataFrame, features: Sequence[str], row_key: Sequence[str], contamination: float = CONTAMINATION
+) -> DataFrame:
+    """Train on a table and add its ``anomaly_score``: nodes and scores are stored once, one scoring pass."""
+    nodes = cut_lineage(fit(df, features, row_key))
+    scored = cut_lineage(raw_scores(df, nodes, features))
+    return scored.withColumn("anomaly_score", F.col("raw_score") - F.lit(offset_of(scored, contamination))).drop("raw_score")
+
+
 def insights(scored: DataFrame, champion: DataFrame, generated_at: Column, key: Sequence[str]) -> DataFrame:
     """Flagged rows (``ticker``, ``anomaly_score``) as insight records; without a registered champion there are none.
 

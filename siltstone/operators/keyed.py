@@ -13,7 +13,7 @@ from siltstone.functions.guards import require_rows
 from siltstone.session import BROADCAST_ROW_LIMIT, is_small
 
 
-def _all_present(keys: Sequence[str]) -> Column:
+def all_present(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
@@ -34,7 +34,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], watermark: str, tiebreak:
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], watermark: str, arrival: Sequence[str]) -> DataFrame:
     """Latest row per key where the earliest arrival wins ties; NULL keys or watermarks fail the query."""
-    checked = require_rows(df, _all_present(keys), "business keys cannot be null")
+    checked = require_rows(df, all_present(keys), "business keys cannot be null")
     checked = require_rows(checked, F.col(watermark).isNotNull(), f"watermark cannot be null: {watermark}")
     return latest_per_key(checked, keys, watermark, [F.col(a).asc() for a in arrival])
 
@@ -49,7 +49,7 @@ def upsert(
     one full outer join keeps it to one exchange per side, reusing the partitioning that the
     cut has already made.
     """
-    present = _all_present(keys)
+    present = all_present(keys)
     columns = target.columns
     fresh = first_per_key(source.where(present), keys, order)
     held = target.where(present)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -40,6 +41,12 @@ class Metric:
     formula: str
     tests: tuple[str, ...] = ()
 
+    @property
+    def summed(self) -> str | None:
+        """The column whose plain sum the formula is, if it is one."""
+        found = re.fullmatch(r"sum\((\w+)\)", self.formula)
+        return found[1] if found else None
+
 
 def metric(df: DataFrame, spec: Metric) -> DataFrame:
     return df.groupBy(*spec.grain).agg(F.expr(spec.formula).alias(spec.metric_id))

@@ -6,30 +6,36 @@ key owns: a hot key simply spans several partitions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.session import cut_lineage, planned_bytes
 
 # monotonically_increasing_id() holds the partition in the upper bits and the row below bit 33.
 _ROW_BITS = 33
 _SLICE_BYTES = 64 << 20
-# Catalyst plans with such sizes where it knows none.
-_UNKNOWN_BYTES = 1 << 50
+# Bins of one pass of a rank search.
+_BINS = 1024
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
-    """As many partitions as the input's size asks for, and at least one per core."""
+    """As many partitions as the rows ask for, and at least one per core.
+
+    Catalyst's estimate is only believed where it is small: that of a join grows with the product of
+    its sides. Otherwise the rows are counted.
+    """
     if partitions:
         return partitions
-    spark = df.sparkSession
-    planned = planned_bytes(df)
-    if planned >= _UNKNOWN_BYTES:  # a frame without statistics, or a product of such: the session's number
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(spark.sparkContext.defaultParallelism, planned // _SLICE_BYTES)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if planned_bytes(df) <= cores * _SLICE_BYTES:
+        return cores
+    return max(cores, df.count() * df._jdf.schema().defaultSize() // _SLICE_BYTES)
 
 
 def sorted_partitions(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -76,24 +82,53 @@ def lag_by_key(
     output: str,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Previous ``value`` of the same key in ``order``, for keys of any size.
+    """Previous ``value`` of the same key in ``order`` (which must be total within a key), for keys of any size.
 
-    Within a slice the window runs per (slice, key), so a key holding a third of all rows is
-    still spread over many tasks. Only the first row of a slice can need a value from an
-    earlier slice; those carries come from the last row of each slice, one row per slice.
+    One range exchange: the sorted slices are read twice in Arrow batches, first for the last row of
+    each slice, which is all that another slice can need (one row per partition reaches the driver),
+    then to shift the values by one row. A key holding a third of all rows spans many slices; NULL keys are one key.
     """
     slices = sorted_partitions(df, [key, *order], partitions)
-    tail = slices.groupBy("_slice").agg(F.max_by(F.struct(F.col(key).alias("k"), F.col(value).alias("v")), "_place").alias("_tail"))
-    ordered = W.orderBy("_slice")  # one row per partition
-    carry = tail.select("_slice", F.lag("_tail").over(ordered).alias("_carry")).hint("broadcast")
-    inside = F.lag(value).over(W.partitionBy("_slice", key).orderBy("_place"))
-    carried = F.when((F.col("_place") == 0) & F.col("_carry.k").eqNullSafe(F.col(key)), F.col("_carry.v"))
-    return (
-        slices.withColumn("_inside", inside)
-        .join(carry, "_slice")
-        .withColumn(output, F.when(F.col("_place") == 0, carried).otherwise(F.col("_inside")))
-        .drop("_slice", "_place", "_inside", "_carry")
-    )
+    kinds = {c: slices.schema[c].dataType for c in (key, value)}
+    edge = T.StructType([T.StructField("s", T.LongType()), T.StructField("k", kinds[key]), T.StructField("v", kinds[value])])
+
+    def last_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tail = None
+        for batch in batches:
+            if len(batch):
+                tail = batch.slice(len(batch) - 1)
+        if tail is not None:
+            yield pa.RecordBatch.from_arrays([tail["_slice"], tail[key], tail[value]], ["s", "k", "v"])
+
+    tails = slices.select("_slice", key, value).mapInArrow(last_row, edge).toArrow().sort_by("s").combine_chunks()
+    before = df.sparkSession.sparkContext.broadcast(tails)
+    columns = [c for c in slices.columns if c not in ("_slice", "_place")]
+
+    def shifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edge_k = edge_v = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys, values = batch[key], batch[value]
+            if edge_k is None:  # the last row of the nearest slice before this one
+                known = before.value.filter(pc.less(before.value["s"], batch["_slice"][0]))
+                edge_k, edge_v = (known[c].slice(max(len(known) - 1, 0)).combine_chunks() for c in ("k", "v"))
+            first = len(edge_k) == 0
+            prior_k = pa.concat_arrays([keys[:1] if first else _array(edge_k, keys.type), keys[:-1]])
+            prior_v = pa.concat_arrays([pa.nulls(1, values.type) if first else _array(edge_v, values.type), values[:-1]])
+            same = pc.fill_null(pc.equal(prior_k, keys), False)
+            same = pc.or_(same, pc.and_(pc.is_null(prior_k), pc.is_null(keys)))
+            found = pc.if_else(same, prior_v, pa.nulls(len(batch), values.type))
+            edge_k, edge_v = keys[-1:], values[-1:]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in columns), found], [*columns, output])
+
+    fields = [slices.schema[c] for c in columns]
+    return slices.mapInArrow(shifted, T.StructType([*fields, T.StructField(output, kinds[value])]))
+
+
+def _array(edge: pa.Array | pa.ChunkedArray, kind: pa.DataType) -> pa.Array:
+    one = edge.combine_chunks() if isinstance(edge, pa.ChunkedArray) else edge
+    return one.cast(kind)
 
 
 def running_extremes(
@@ -140,3 +175,28 @@ def _local_extremes(batches):
             ]
     if state:
         yield pd.DataFrame([(g, partition, *v) for g, v in state.items()], columns=["g", "p", "total", "high", "low"])
+
+
+def value_at_rank(df: DataFrame, value: str, rank: int) -> tuple[float, int] | None:
+    """(the value at a 0-based rank, rows with smaller values) of finite DOUBLEs, exact, without ordering the rows.
+
+    A histogram of equal bins narrows the range to the bin that holds the rank, and again within it, until
+    the bin holds one value. Bins of different tasks add up, and a pass returns at most ``_BINS`` rows.
+    """
+    rows = df.select(F.col(value).alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
+    low, high, total = rows.agg(F.min("v"), F.max("v"), F.count("v")).first()
+    if not 0 <= rank < total:
+        return None
+    below = 0
+    while low < high:
+        width = (high - low) / _BINS
+        even = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width or 1.0)), F.lit(_BINS - 1))  # the ends lie in different bins
+        spot = even if width > 0 else (F.col("v") > low).cast("long")
+        bins = rows.where(F.col("v").between(low, high)).groupBy(spot.alias("b")).agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n"))
+        for found in sorted(bins.collect(), key=lambda r: r["low"]):
+            if rank < below + found["n"]:
+                break
+            below += found["n"]
+        low, high = found["low"], found["high"]
+    return low, below
+

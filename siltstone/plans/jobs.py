@@ -12,16 +12,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.operators import contracts, healing, quality
+from siltstone.operators import contracts, healing, keyed, quality
 from siltstone.operators.contracts import PAYLOAD, REASON
-from siltstone.operators.forest import anomaly_scores, fit, insights, score_offset
+from siltstone.operators.forest import fit_and_score, insights
 from siltstone.operators.features import FEATURES, build_features
 from siltstone.plans.declared import APPEND_ONLY, CONTRACTS, PRODUCTS, SILVER_KEYS
-from siltstone.session import cut_lineage, work_path
+from siltstone.session import cut_lineage
 from siltstone.sources import cursors, lake, landing
 
 EVENTS = "event_id string, source_failure_type string, source string, detail string, detected_at timestamp"
-PROMOTED = "promoted_at timestamp, source string, ingestion_date string, batch string"
+PROMOTED = "ingestion_date string, attempt string, promoted_at timestamp, source string, batch string"
 HANDLED = "failure_key string"
 EVENT_PARTS = ("source_failure_type", "source", "detail", "detected_at")
 
@@ -31,6 +31,11 @@ class Lake:
     """Where the tables live; every path is on storage all executors can reach."""
 
     root: str
+    database: str = "default"
+
+    def product(self, product: str) -> str:
+        """The name of a product's table."""
+        return f"{self.database}.{product}"
 
     def silver(self, source: str) -> str:
         return f"{self.root}/silver/{source}"
@@ -65,16 +70,11 @@ class Lake:
 
 def ingest_drop(
     spark: SparkSession, place: Lake, source: str, base: str, ds: str, now: Column, folder: str = "ds={ds}"
-) -> None:
-    """One day's drop through its contract into Bronze and the dead letters."""
+) -> dict[str, int]:
+    """One day's drop through its contract into Bronze and the dead letters; returns the rows written to each."""
     contract = CONTRACTS[source]
     checked = contracts.check(landing.read_drop(spark, base, ds, folder=folder), contract)
-    lake.write_checked(checked, contract, place.bronze, F.lit(ds), now, batch=f"drop-{ds}")
-
-
-def _position(spark: SparkSession, place: Lake, name: str) -> str:
-    table = lake.read_table(spark, place.cursors, cursors.SCHEMA)
-    return spark.range(1).select(cursors.position(table, name)).first()[0]
+    return lake.write_checked(checked, contract, place.bronze, F.lit(ds), now, batch=f"drop-{ds}")
 
 
 def _advance(spark: SparkSession, place: Lake, name: str, newest: DataFrame, now: Column) -> None:
@@ -84,62 +84,77 @@ def _advance(spark: SparkSession, place: Lake, name: str, newest: DataFrame, now
     cursors.save_cursors(spark, place.cursors, change)
 
 
-def promote_to_silver(spark: SparkSession, place: Lake, source: str, now: Column, buckets: int = 64) -> None:
-    """New Bronze batches into Silver: merged sources by key, append-only sources batch by batch.
+def promote_to_silver(spark: SparkSession, place: Lake, source: str, now: Column, buckets: int = 64) -> dict[str, int]:
+    """New and corrected Bronze batches into Silver: merged sources by key, append-only sources batch by batch.
 
-    Batches are known by name, so one for an older day that arrives late is promoted as well. Days
-    from the cursor on are read again, since a batch may have been replaced; merging rows twice and
-    replacing a batch's partition by itself change nothing.
+    The ledger tells which attempts of which batches were not promoted yet, whatever their day, so
+    only those batches are opened. Silver follows Bronze as it is now: where a corrected batch no
+    longer holds a key, the key falls back to its newest row in the other batches, or goes. Merging
+    rows twice and replacing a batch's partition by itself change nothing.
+
+    Returns how many batches and accepted rows were processed.
     """
-    since = _position(spark, place, f"bronze/{source}")[:10]
-    contract = CONTRACTS[source]
-    bronze = lake.read_bronze(spark, place.bronze, contract)
-    named = ["ingestion_date", "batch"]
+    contract, named = CONTRACTS[source], ["ingestion_date", "batch"]
+    if source not in SILVER_KEYS and source not in APPEND_ONLY:
+        raise ValueError(f"no Silver rule for source {source}")
+    ledger = lake.read_ledger(spark, place.bronze).where((F.col("source") == source) & (F.col("zone") == "bronze"))
     done = lake.read_table(spark, place.promoted, PROMOTED).where(F.col("source") == source)
-    # one row per batch that is new or may have been replaced
-    unread = bronze.select(*named).distinct().join(done, named, "left_anti")
-    fresh = cut_lineage(unread.unionByName(bronze.where(F.col("ingestion_date") >= since).select(*named)).distinct())
-    rows = bronze.join(fresh, named)
-    columns = contract.schema().fieldNames()
+    fresh = cut_lineage(ledger.join(done, ["batch", "attempt"], "left_anti").select(*named, "attempt", "rows"))
+    before = cut_lineage(done.join(fresh.select("batch").distinct(), "batch", "left_semi").select(*named))
+    # names of partitions, which the driver lists in any case
+    names = [r["batch"] for r in fresh.select("batch").distinct().collect()]
+    corrected = [r["batch"] for r in before.select("batch").distinct().collect()]
+    if not names:
+        return {"batches": 0, "rows": 0}
+    columns = [*contract.schema().fieldNames(), *named, *([PAYLOAD] if source in SILVER_KEYS else [])]
+    bronze = lake.read_bronze(spark, place.bronze, contract).select(*columns)
+    rows = bronze.where(F.col("batch").isin(names))
     if source in SILVER_KEYS:
-        newest = [F.col("ingestion_date").desc(), F.col("batch").desc(), F.col("payload").desc()]
-        lake.merge_into(
-            spark, rows.select(*columns, "ingestion_date", "batch", "payload"), place.silver(source),
-            SILVER_KEYS[source], newest, buckets, stays=newest[:2],
-        )
-    elif source in APPEND_ONLY:
-        lake.replace_partitions(rows.select(*columns, "ingestion_date", "batch"), place.silver(source), ["ingestion_date", "batch"])
+        keys, path = SILVER_KEYS[source], place.silver(source)
+        newest = [F.col("ingestion_date").desc(), F.col("batch").desc(), F.col(PAYLOAD).desc()]
+        gone = None
+        if corrected:
+            held = lake.read_table(spark, path, rows.schema).where(F.col("batch").isin(corrected)).select(*keys, *named)
+            gone = cut_lineage(held.join(rows.select(*keys, *named).distinct(), [*keys, *named], "left_anti").select(*keys).distinct())
+            others = bronze.where(~F.col("batch").isin(names)).join(gone, list(keys), "left_semi")
+            rows = rows.unionByName(keyed.first_per_key(others, keys, newest))
+        lake.merge_into(spark, rows, path, keys, newest, buckets, stays=newest[:2], withdrawn=gone)
     else:
-        raise ValueError(f"no Silver rule for source {source}")
-    lake.replace_partitions(
-        fresh.select(F.lit(source).alias("source"), *named, now.cast("timestamp").alias("promoted_at")), place.promoted, ["source", *named]
-    )
-    _advance(spark, place, f"bronze/{source}", cursors.high_water(rows, "ingestion_date"), now)
+        lake.replace_partitions(rows, place.silver(source), named)
+        for r in before.join(fresh, named, "left_anti").where("ingestion_date IS NOT NULL").collect():  # days of a corrected batch
+            path = f"{place.silver(source)}/ingestion_date={r['ingestion_date']}/batch={r['batch']}"
+            rows.drop(*named).limit(0).write.mode("overwrite").parquet(path)
+    promoted = fresh.select(F.lit(source).alias("source"), *named, "attempt", now.cast("timestamp").alias("promoted_at"))
+    lake.replace_partitions(promoted, place.promoted, ["source", "batch"])
+    _advance(spark, place, f"bronze/{source}", cursors.high_water(fresh, "ingestion_date"), now)
+    return {"batches": len(names), "rows": fresh.agg(F.sum("rows")).first()[0]}
 
 
 def build_gold(place: Lake, product_id: str, rows: DataFrame, arrival: Sequence[str]) -> DataFrame:
-    """Build, gate and replace one product. The gate sees the written rows, before they replace the product."""
+    """Build, gate and publish one product as a new version of its table; returns the gate's report.
+
+    The gate sees the written rows before the table points to them; a breach raises and leaves the
+    version that is there.
+    """
     spark, product = rows.sparkSession, PRODUCTS[product_id]
     made, _ = quality.build_product(rows, product, arrival)
-    staged = work_path(spark, "gold-staged")
-    made.write.parquet(staged)
-    built = spark.read.schema(made.schema).parquet(staged)
-    report = quality.require_quality(built, product)
-    verdict = report.collect()  # one row; a breach raises here
-    built.write.mode("overwrite").parquet(place.gold(product_id))
-    return spark.createDataFrame(verdict, report.schema)
+    verdict: list = []
+
+    def gate(written: DataFrame) -> None:
+        report = quality.require_quality(written, product)
+        verdict.append((report.collect(), report.schema))  # one row
+
+    lake.publish(made, place.product(product_id), place.gold(product_id), f"product {product_id}", {"product": product_id}, gate)
+    return spark.createDataFrame(*verdict[0])
 
 
 def generate_insights(
     place: Lake, quotes: DataFrame, sales: DataFrame, champion: DataFrame, now: Column, batch: str,
-    tiebreak: tuple[str, ...] = (),
+    tiebreak: tuple[str, ...],
 ) -> DataFrame:
     """Score the feature matrix and log its anomalies; the forest stands in for the registered model."""
     matrix = cut_lineage(build_features(quotes, sales, tiebreak))
-    names = list(FEATURES)
-    nodes = fit(matrix, names, ["row_index"])
-    scored = anomaly_scores(matrix, nodes, score_offset(matrix, nodes, names), names)
-    found = insights(scored, champion, now, ["row_index"])
+    found = insights(fit_and_score(matrix, list(FEATURES), ["row_index"]), champion, now, ["row_index"])
     lake.append_log(found, place.gold("market_insights_log"), batch)
     return found
 

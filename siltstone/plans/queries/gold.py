@@ -181,9 +181,10 @@ def metric_rows(values: DataFrame, metric_id: str, day_column: str, grain: str,
 
 @register(EXECUTIVE_SQL)
 def executive_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = gold.executive_metrics(
-        market_rows(spark, sf_dir), sale_rows(spark, sf_dir), cost_rows(spark, sf_dir)
-    )
+    products = {
+        "gold_market_insights": market_rows(spark, sf_dir), "gold_lost_sales": sale_rows(spark, sf_dir), "gold_finops_costs": cost_rows(spark, sf_dir),
+    }
+    sets = gold.executive_metrics(products, METRICS.values())
     return union_all(
         [
             metric_rows(sets["market_total_value"], "market_total_value", "event_date", "source_class", "metric_value"),

@@ -200,27 +200,56 @@ def failures_across_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_late_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as lost sales of one account each: the odd years' drops reach Silver first, the older even
     years' drops arrive late; the newest sale of an account stays."""
-    place, source = jobs.Lake(work_path(spark, "lake")), "crm_lost_sales"
-    contract = CONTRACTS[source]
-    sales = table(spark, sf_dir, "orders").select(
+    place, orders = jobs.Lake(work_path(spark, "lake")), table(spark, sf_dir, "orders")
+    odd = F.year("o_orderdate") % 2 == 1
+    for name, rows in (("odd", orders.where(odd)), ("even", orders.where(~odd))):
+        promote_drop(spark, place, yearly_sales(rows), name)
+    return promoted_sales(spark, place)
+
+
+SALES = "crm_lost_sales"
+
+
+def yearly_sales(orders: DataFrame) -> DataFrame:
+    """Orders as lost sales of one account each, the newest of an account and year, as (year, payload) lines."""
+    newest = W.partitionBy("o_custkey", F.year("o_orderdate")).orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc())
+    sales = orders.select(
         F.concat(F.lit("o"), "o_custkey").alias("opportunity_id"),
         F.col("o_orderkey").cast("string").alias("account_name"),
         F.lit("r").alias("lost_reason"),
         F.col("o_totalprice").alias("estimated_value"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("lost_at"),
         F.year("o_orderdate").alias("year"),
-        F.row_number().over(
-            W.partitionBy("o_custkey", F.year("o_orderdate")).orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc())
-        ).alias("n"),
-    ).where("n = 1")  # one sale of an account and drop
-    lines = sales.select("year", F.to_json(F.struct(*contract.schema().fieldNames())).alias(contracts.PAYLOAD))
-    for name, mine in (("odd", F.col("year") % 2 == 1), ("even", F.col("year") % 2 == 0)):
-        checked = contracts.check(lines.where(mine), contract)
-        day = F.concat(F.col("year").cast("string"), F.lit("-12-31"))
-        lake.write_checked(checked, contract, place.bronze, day, moment(MONTH_END), name, backfill=True)
-        jobs.promote_to_silver(spark, place, source, moment(MONTH_END))
-    silver = spark.read.parquet(place.silver(source))
-    return silver.select("opportunity_id", F.round("estimated_value", 2).alias("estimated_value"))
+        F.row_number().over(newest).alias("n"),
+    ).where("n = 1")
+    return sales.select("year", F.to_json(F.struct(*CONTRACTS[SALES].schema().fieldNames())).alias(contracts.PAYLOAD))
+
+
+def promote_drop(spark: SparkSession, place: jobs.Lake, lines: DataFrame, name: str) -> dict[str, int]:
+    """Write one named batch whose days are the ends of its years, then promote what Silver has not seen."""
+    day = F.concat(F.col("year").cast("string"), F.lit("-12-31"))
+    lake.write_checked(contracts.check(lines, CONTRACTS[SALES]), CONTRACTS[SALES], place.bronze, day, moment(MONTH_END), name, backfill=True)
+    return jobs.promote_to_silver(spark, place, SALES, moment(MONTH_END))
+
+
+def promoted_sales(spark: SparkSession, place: jobs.Lake) -> DataFrame:
+    return spark.read.parquet(place.silver(SALES)).select("opportunity_id", F.round("estimated_value", 2).alias("estimated_value"))
+
+
+@register(
+    """SELECT 'o' || o_custkey AS opportunity_id, round(max_by(CASE WHEN odd AND o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END, (o_orderdate, o_orderkey)), 2) AS estimated_value
+FROM (SELECT *, year(o_orderdate) % 2 = 1 AS odd FROM orders) WHERE NOT (odd AND o_orderkey % 5 = 0) GROUP BY 1"""
+)
+def silver_corrected_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The odd years' drop is replaced after both drops were promoted: some of its sales are withdrawn, some
+    have another value. Accounts fall back to their newest sale that is left."""
+    place, orders = jobs.Lake(work_path(spark, "lake")), table(spark, sf_dir, "orders")
+    odd = F.year("o_orderdate") % 2 == 1
+    raised = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    corrected = orders.where(odd & (F.col("o_orderkey") % 5 != 0)).withColumn("o_totalprice", raised)
+    for name, rows in (("odd", orders.where(odd)), ("even", orders.where(~odd)), ("odd", corrected)):
+        promote_drop(spark, place, yearly_sales(rows), name)
+    return promoted_sales(spark, place)
 
 
 @register(

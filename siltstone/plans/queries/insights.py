@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from siltstone.operators import costs, drift, features, forest, healing
 from siltstone.plans.queries import MIDPOINT, MONTH_END, moment, register, table
-from siltstone.session import cut_lineage
+from siltstone.session import cut_lineage, work_path
+from siltstone.sources import usage
 
 LAST_MONTH = "2001-10-05 00:00:00"
 
@@ -45,6 +46,30 @@ def usage_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("consumption", F.round("consumption", 6))
 
 
+@register(
+    f"""SELECT 'billing' AS billing, 'job' || l_suppkey AS job_name, round(sum(l_quantity), 2) AS consumption FROM lineitem
+WHERE l_shipdate >= TIMESTAMP '{LAST_MONTH}' GROUP BY ALL
+UNION ALL SELECT name, 'run' || o_custkey, CAST(count(*) * 60 AS DOUBLE) FROM orders, (VALUES ('broken'), ('absent')) AS n(name)
+WHERE o_orderdate >= TIMESTAMP '{LAST_MONTH}' GROUP BY ALL"""
+)
+def usage_fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usage from the billing table; from runs of a minute for each order where billing is not Parquet, and where it is absent."""
+    base = work_path(spark, "usage")
+    rows = usage_rows(spark, sf_dir).select("job_name", F.col("usage_date").cast("timestamp").alias("usage_date"), F.col("quantity").cast("double").alias("quantity"))
+    rows.write.parquet(f"{base}/billing")
+    rows.select(F.to_json(F.struct("*"))).write.text(f"{base}/broken")
+    start = F.col("o_orderdate").cast("timestamp")
+    table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("run"), "o_custkey").alias("job_name"), start.alias("start_date"), (start + F.expr("INTERVAL 1 MINUTE")).alias("end_date")
+    ).write.parquet(f"{base}/runs")
+    since = F.lit(LAST_MONTH).cast("timestamp")
+    found = [
+        usage.fetch_usage(spark, f"{base}/{name}", f"{base}/runs", since).select(F.lit(name).alias("billing"), "job_name", F.round("consumption", 2).alias("consumption"))
+        for name in ("billing", "broken", "absent")
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 ANOMALY_SQL = f"""
 WITH b AS (SELECT 'job' || l_suppkey AS job_name, l_shipdate AS bucket, sum(l_quantity) AS consumption FROM lineitem GROUP BY 1, 2),
 s AS (SELECT job_name, avg(consumption) AS mean, coalesce(stddev_samp(consumption), 0) AS std FROM b WHERE bucket < TIMESTAMP '{LAST_MONTH}' GROUP BY 1),
@@ -305,10 +330,7 @@ def insight_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def isolation_forest_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forest fitted on the feature matrix and its anomalies as insight rows (no SQL twin: randomised trees)."""
-    matrix = cut_lineage(feature_rows(spark, sf_dir))  # read three times: training, offset, scoring
-    names = list(features.FEATURES)
-    nodes = forest.fit(matrix, names, ["row_index"])
-    offset = forest.score_offset(matrix, nodes, names)
-    scored = forest.anomaly_scores(matrix, nodes, offset, names)
+    matrix = cut_lineage(feature_rows(spark, sf_dir))  # read twice: training and scoring
+    scored = forest.fit_and_score(matrix, list(features.FEATURES), ["row_index"])
     rows = forest.insights(scored, champion(spark, sf_dir), moment(MONTH_END), ["row_index"])
     return rows.withColumn("anomaly_score", F.round("anomaly_score", 6))

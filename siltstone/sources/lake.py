@@ -2,7 +2,8 @@
 
 Tables are plain Hive-partitioned folders written by Spark's own committer. Appends carry a
 ``batch`` partition and overwrite only that partition, so running a batch again replaces its
-rows instead of adding them twice.
+rows instead of adding them twice. A ledger says which attempt of a batch is the one that counts,
+on which days it has rows and how many, so readers know a corrected batch from one they have seen.
 """
 
 from __future__ import annotations
@@ -16,10 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.operators.contracts import PAYLOAD, REASON, Contract, typed_columns
-from siltstone.operators.keyed import first_per_key, upsert
+from siltstone.operators.keyed import all_present, first_per_key, upsert
 from siltstone.sources.landing import matching_paths, path_exists
 
 DLQ_SCHEMA = f"zone string, source string, ingestion_date string, batch string, {REASON} string, {PAYLOAD} string, detected_at timestamp"
+LEDGER_SCHEMA = "source string, batch string, zone string, ingestion_date string, rows long, attempt string"
 BUCKET, ARRIVED = "_bucket", "_arrived"
 ATTEMPT = "_attempt"
 _PLAIN_NAME = re.compile(r"[\w.-]+")
@@ -33,6 +35,10 @@ def dlq_path(root: str) -> str:
     return f"{root}/zone=dlq"
 
 
+def ledger_path(root: str) -> str:
+    return f"{root}/ledger"
+
+
 def write_checked(
     checked: DataFrame,
     contract: Contract,
@@ -41,16 +47,19 @@ def write_checked(
     detected_at: Column,
     batch: str,
     backfill: bool = False,
-) -> None:
+) -> dict[str, int]:
     """Append accepted rows to Bronze and refused rows to the dead letters in one pass and one commit.
 
+    Returns how many rows of the batch lie in each zone, counted from what was written.
+
     Bronze is partitioned by ingestion date, dead letters by source and ingestion date. An
     empty batch creates nothing. A day's batch is written without a shuffle; a ``backfill`` over
     many days is first gathered by partition, which AQE splits again where a day is large.
 
     A batch that is written again replaces its rows in both zones, on every day it had: what a
-    corrected batch no longer holds is emptied after the write. Batch names are plain (letters,
-    digits, dot, dash and underscore).
+    corrected batch no longer holds is emptied after the write, and the ledger then names the new
+    attempt. A run that dies before that is run again. Batch names are plain (letters, digits, dot,
+    dash and underscore).
     """
     if not _PLAIN_NAME.fullmatch(batch):
         raise ValueError(f"not a plain batch name: {batch!r}")
@@ -68,14 +77,32 @@ def write_checked(
         F.lit(batch).alias("batch"),
     )
     layout = ["zone", "source", "ingestion_date", "batch"]
-    before = matching_paths(spark, f"{root}/zone=*/source={contract.source}/ingestion_date=*/batch={batch}")
     replace_partitions(rows.hint("rebalance", *layout) if backfill else rows, root, layout)
-    if before:
-        now = spark.read.schema(f"zone string, ingestion_date string, {ATTEMPT} string").option("basePath", root).parquet(*before)
-        mine = F.max(F.coalesce(F.col(ATTEMPT) == attempt, F.lit(False)))
-        for zone, day in now.groupBy("zone", "ingestion_date").agg(mine.alias("mine")).where("not mine").drop("mine").collect():
-            path = f"{root}/zone={zone}/source={contract.source}/ingestion_date={day}/batch={batch}"  # at most the days of a batch
+    found = matching_paths(spark, f"{root}/zone=*/source={contract.source}/ingestion_date=*/batch={batch}")
+    if not found:
+        return {"bronze": 0, "dlq": 0}
+    now = spark.read.schema(f"zone string, ingestion_date string, {ATTEMPT} string").option("basePath", root).parquet(*found)
+    mine = F.count_if(F.coalesce(F.col(ATTEMPT) == attempt, F.lit(False)))
+    written, counts = [], {"bronze": 0, "dlq": 0}
+    for zone, day, size, all_rows in now.groupBy("zone", "ingestion_date").agg(mine, F.count(F.lit(1))).collect():  # at most the days of a batch
+        if size < all_rows:  # rows of an earlier attempt
+            path = f"{root}/zone={zone}/source={contract.source}/ingestion_date={day}/batch={batch}"
             rows.drop(*layout).limit(0).write.mode("overwrite").parquet(path)
+        else:
+            written.append((contract.source, batch, zone, day, size, attempt))
+            counts[zone] += size
+    if not counts["bronze"]:
+        written.append((contract.source, batch, "bronze", None, 0, attempt))
+    replace_partitions(spark.createDataFrame(written, LEDGER_SCHEMA).coalesce(1), ledger_path(root), ["source", "batch"])
+    return counts
+
+
+def read_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """One row per batch, zone and day: the rows there and the attempt that wrote them.
+
+    Every batch has a row of zone ``bronze``, without a day where none of its rows was accepted.
+    """
+    return read_table(spark, ledger_path(root), LEDGER_SCHEMA)
 
 
 def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
@@ -125,6 +152,7 @@ def merge_into(
     order: Sequence[Column],
     buckets: int = 64,
     stays: Sequence[Column] = (),
+    withdrawn: DataFrame | None = None,
 ) -> None:
     """Keyed merge into a Silver folder laid out in hash buckets of the key.
 
@@ -136,18 +164,27 @@ def merge_into(
     another one is refused. A table format with row-level MERGE replaces this function where present.
 
     An incoming row replaces a stored one, but with ``stays`` only if it is not behind it in that
-    order: a batch that arrives late leaves newer rows alone.
+    order: a batch that arrives late leaves newer rows alone. Stored rows of the keys in
+    ``withdrawn`` go first, so that only incoming rows can take their place. Rows without a key
+    match nothing and are all kept.
     """
     schema = T.StructType([*source.schema.fields, T.StructField(BUCKET, T.IntegerType())])
     finish_merge(spark, path, schema)
     _require_layout(spark, path, buckets)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     incoming = source.withColumn(BUCKET, bucket)
-    touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]
+    named = incoming.select(BUCKET)
+    if withdrawn is not None:
+        named = named.unionByName(withdrawn.select(bucket.alias(BUCKET)))
+    touched = [r[0] for r in named.distinct().collect()]
     target = spark.read.schema(schema).parquet(path).where(F.col(BUCKET).isin(touched))
+    if withdrawn is not None:
+        target = target.join(withdrawn.select(*keys).distinct(), list(keys), "left_anti").select(*schema.fieldNames())
     if stays:
+        present = all_present(keys)
         both = target.withColumn(ARRIVED, F.lit(0)).unionByName(incoming.withColumn(ARRIVED, F.lit(1)))
-        merged = first_per_key(both, keys, [*stays, F.col(ARRIVED).desc(), *order]).drop(ARRIVED)
+        merged = first_per_key(both.where(present), keys, [*stays, F.col(ARRIVED).desc(), *order])
+        merged = merged.unionByName(both.where(~present)).drop(ARRIVED)
     else:
         merged = upsert(target, incoming, keys, order)
     # Rebalancing lets AQE pick the file count: small buckets share a task, large ones are split.

@@ -1,69 +1,99 @@
-"""The decision state machine on a stream of decision events."""
+"""The decision state machine on a stream of openings and verbs."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from siltstone.operators.delivery import EXPIRY_ACTOR
 
 STATE = "action_type string, expires_at timestamp, status string, actor_id string, reason string, decided_at timestamp"
+EARLY = "event_id long, verb string, actor_id string, reason string, reasoned boolean, admits string, ts timestamp"
 OUTPUT = "decision_id string, status string, actor_id string, reason string, decided_at timestamp"
+_VERB = ("event_id", "verb", "actor_id", "reason", "reasoned", "admits", "ts")
 
 
 class DecisionProcessor(StatefulProcessor):
-    """Keeps one small state row per decision.
+    """Keeps one small state row per decision, and verbs that came before their decision was opened.
 
-    The first effective event of a pending decision settles it. Rows of a micro-batch are
+    The first effective verb of a pending decision settles it. Rows of a micro-batch are
     folded chunk by chunk to the earliest effective one, so a busy decision needs no more
-    memory than a quiet one. An event-time timer expires a decision nobody answered.
+    memory than a quiet one. Early verbs wait in list state until the opening arrives, which then
+    takes them all into account. An event-time timer expires a decision nobody answered.
     """
 
-    def __init__(self, policy: Mapping[str, Sequence[str]]) -> None:
-        self.policy = {action: set(groups) for action, groups in policy.items()}
+    def __init__(self, actions: Sequence[str]) -> None:
+        self.place = {action: i for i, action in enumerate(actions)}
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("decision", STATE)
+        self.early = handle.getListState("early", EARLY)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         row = initialState.iloc[0]
-        self.state.update((row["action_type"], row["expires_at"], "pending", None, None, None))
-        self.handle.registerTimer(_millis(row["expires_at"]))
+        self._open(row["action_type"], row["expires_at"])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        winner, opened = None, False
+        for chunk in rows:
+            openings = chunk[chunk["opening"]]
+            if len(openings) and not self.state.exists():
+                first = openings.sort_values(["ts", "expires_at"]).iloc[0]
+                self._open(first["action_type"], first["expires_at"])
+                opened = True
+            verbs = chunk[~chunk["opening"]]
+            if verbs.empty:
+                continue
+            if self.state.exists():
+                winner = self._earliest(winner, self._effective(verbs))
+            else:
+                self.early.appendList([tuple(r) for r in verbs[list(_VERB)].itertuples(index=False)])
+        if opened:
+            waiting = pd.DataFrame(list(self.early.get()), columns=list(_VERB)) if self.early.exists() else pd.DataFrame()
+            if len(waiting):
+                winner = self._earliest(winner, self._effective(waiting))
+                self.early.clear()
         if not self.state.exists():
             return
         action, expires_at, status, *_ = self.state.get()
-        allowed = self.policy.get(action, set())
-        winner = None
-        for chunk in rows:
-            if status != "pending":
-                continue
-            late = chunk["ts"] >= expires_at
-            reasoned = chunk["reason"].fillna("") != ""
-            admitted = chunk["actor_groups"].map(lambda groups: not allowed.isdisjoint([] if groups is None else groups))
-            known = chunk["verb"].isin(["approved", "rejected"])
-            effective = chunk[known & admitted & (late | (chunk["verb"] == "approved") | reasoned)]
-            if effective.empty:
-                continue
-            first = effective.sort_values(["ts", "event_id"]).iloc[0]
-            if winner is None or (first["ts"], first["event_id"]) < (winner["ts"], winner["event_id"]):
-                winner = first
+        if status != "pending":
+            return
         if winner is not None:
             expired = winner["ts"] >= expires_at
-            settled = "expired" if expired else winner["verb"]
             reason = None if expired or pd.isna(winner["reason"]) else winner["reason"]
-            yield self._settle(key, action, expires_at, settled, winner["actor_id"], reason, winner["ts"])
+            yield self._settle(key, action, expires_at, "expired" if expired else winner["verb"], winner["actor_id"], reason, winner["ts"])
+        elif opened and _millis(expires_at) <= timerValues.getCurrentWatermarkInMs():
+            yield self._settle(key, action, expires_at, "expired", EXPIRY_ACTOR, None, expires_at)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         action, expires_at, status, *_ = self.state.get()
         if status == "pending":
             yield self._settle(key, action, expires_at, "expired", EXPIRY_ACTOR, None, expires_at)
 
+    def _open(self, action: str, expires_at) -> None:
+        self.state.update((action, expires_at, "pending", None, None, None))
+        self.handle.registerTimer(_millis(expires_at))
+
+    def _effective(self, verbs: pd.DataFrame) -> pd.DataFrame:
+        """Verbs of admitted actors; a rejection without a reason only counts once the deadline has passed."""
+        action, expires_at, status, *_ = self.state.get()
+        place = self.place.get(action)
+        if status != "pending" or place is None:
+            return verbs[:0]
+        return verbs[(verbs["admits"].str[place] == "1") & (verbs["reasoned"].astype(bool) | (verbs["ts"] >= expires_at))]
+
+    @staticmethod
+    def _earliest(winner, effective: pd.DataFrame):
+        if effective.empty:
+            return winner
+        first = effective.sort_values(["ts", "event_id"]).iloc[0]
+        return first if winner is None or (first["ts"], first["event_id"]) < (winner["ts"], winner["event_id"]) else winner
+
     def _settle(self, key, action, expires_at, status, actor, reason, at) -> pd.DataFrame:
         self.state.update((action, expires_at, status, actor, reason, at))
         self.handle.deleteTimer(_millis(expires_at))
@@ -79,19 +109,50 @@ def _millis(at) -> int:
     return int(pd.Timestamp(at).value // 1_000_000)
 
 
+def admitted(groups: Column, policy: Mapping[str, Sequence[str]]) -> Column:
+    """One sign per action of the policy, in their order: 1 where a group may decide on it."""
+    held = F.coalesce(groups, F.array().cast("array<string>"))
+    signs = [F.when(F.arrays_overlap(held, F.array(*[F.lit(g) for g in policy[a]]).cast("array<string>")), "1").otherwise("0") for a in sorted(policy)]
+    return F.concat(F.lit(""), *signs)
+
+
+def decision_rows(events: DataFrame, openings: DataFrame | None, policy: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Verbs and openings as rows of one kind; ``counts`` marks those that may ever have an effect."""
+    verbs = events.select(
+        "decision_id", F.lit(False).alias("opening"), F.col("event_id").cast("long").alias("event_id"), "verb", "actor_id", "reason",
+        ((F.col("verb") == "approved") | (F.coalesce("reason", F.lit("")) != "")).alias("reasoned"), admitted(F.col("actor_groups"), policy).alias("admits"), "ts",
+    )
+    known = F.coalesce(F.col("verb").isin("approved", "rejected"), F.lit(False))
+    typed = verbs.withColumn("counts", known & F.col("admits").contains("1")).withColumn("action_type", F.lit(None).cast("string")).withColumn("expires_at", F.lit(None).cast("timestamp"))
+    if openings is None:
+        return typed
+    opened = openings.select("decision_id", F.lit(True).alias("opening"), F.lit(True).alias("counts"), F.col("opened_at").alias("ts"), "action_type", "expires_at")
+    return typed.unionByName(opened, allowMissingColumns=True)
+
+
 def decision_stream(
-    events: DataFrame, decisions: DataFrame, policy: Mapping[str, Sequence[str]], delay: str = "1 hour"
+    events: DataFrame,
+    decisions: DataFrame,
+    policy: Mapping[str, Sequence[str]],
+    delay: str = "1 hour",
+    openings: DataFrame | None = None,
 ) -> DataFrame:
     """Settled decisions as a stream.
 
     ``events`` (stream): event_id, decision_id, verb, actor_id, actor_groups, reason, ts;
-    ``decisions`` (table): decision_id, action_type, expires_at of the pending decisions.
+    ``decisions`` (table): decision_id, action_type, expires_at of the decisions pending at the start;
+    ``openings`` (stream): the same columns and opened_at of decisions opened later. An opening may come
+    after verbs of its decision, in other micro-batches too; only the first opening counts. ``delay``
+    covers how far rows of either stream may lie behind the newest of both.
     """
-    opened = decisions.select("decision_id", "action_type", "expires_at").groupBy("decision_id")
+    known = decisions.select("decision_id", "action_type", "expires_at").groupBy("decision_id")
     return (
-        events.withWatermark("ts", delay)
+        decision_rows(events, openings, policy)
+        .withWatermark("ts", delay)
+        # any event moves the time on: a condition on ts is not pushed below the watermark
+        .where(F.when(F.col("ts").isNotNull(), F.col("counts")))
         .groupBy("decision_id")
         .transformWithStateInPandas(
-            DecisionProcessor(policy), OUTPUT, "Append", "EventTime", initialState=opened
+            DecisionProcessor(sorted(policy)), OUTPUT, "Append", "EventTime", initialState=known
         )
     )

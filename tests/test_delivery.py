@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,6 +154,28 @@ def test_promotions_match_a_sequential_run(spark):
     assert {r["model_name"]: r["version"] for r in after.collect()} == state
 
 
+def test_a_busy_alias_is_worked_off_in_a_tree(spark):
+    assert promotion._compose(  # a moves to c through b, d stays behind the swap of the second node
+        pd.DataFrame([(2, "m", "x", ["a"], ["b"]), (3, "m", "x", ["b", "d"], ["c", "a"])], columns=["node", "model_name", "alias", "befores", "afters"])
+    ).iloc[0].tolist() == [1, "m", "x", ["b", "d", "a"], ["c", "a", "c"]]
+    n = 30_000
+    rows = spark.range(n).select(
+        F.concat(F.lit("a"), "id").alias("application_id"), F.lit("promote_model").alias("action_type"), F.lit("pending").alias("status"),
+        F.lit(0).alias("attempt_count"), F.lit("hot").alias("model_name"), F.lit("champion").alias("alias"),
+        (F.col("id") % 5).cast("string").alias("current_version"), ((F.col("id") * 7 + 3) % 5).cast("string").alias("approved_version"), F.col("id").alias("arrival"),
+    )
+    aliases = spark.createDataFrame([("hot", "champion", "0")], "model_name string, alias string, version string")
+    version, expected = "0", {}
+    for i in range(n):
+        if version == str(i % 5):
+            version = str((i * 7 + 3) % 5)
+            expected[f"a{i}"] = ("applied", version)
+        else:
+            expected[f"a{i}"] = ("stale_precondition", version)
+    got = promotion.apply_promotions(rows, aliases, partitions=64).collect()
+    assert len(got) == n and {r["application_id"]: (r["status"], r["version"]) for r in got} == expected
+
+
 def test_pr_requests(spark):
     rows = [("pr_opened", "u", "e1", "x" * 100, "f", "because", "me", 0), ("rejected", "u", "e2", "c", "f", "b", "me", 1)]
     results = spark.createDataFrame(

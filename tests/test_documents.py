@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import text as tx
 from siltstone.functions.guardrails import verdict
-from siltstone.functions.redaction import redact_columns, redact_json
+from siltstone.functions.redaction import redact_columns, redact_json, redact_json_checked
 from siltstone.operators import documents, healing, retrieval
 
 
@@ -204,3 +204,13 @@ def test_guardrails_refuse_missing_fields(spark):
     rows = spark.createDataFrame([(None, "x"), ("pipelines/a.py", None), (None, None)], "path string, diff string")
     assert [r[0] for r in rows.select(verdict(rows["path"], rows["diff"])).collect()][::2] == ["invalid_path:"] * 2
     assert rows.where("path IS NOT NULL").select(verdict(rows["path"], rows["diff"])).first()[0] is not None
+
+
+def test_one_bad_text_does_not_stop_the_others(spark):
+    texts = ['{"password": 1, "a": ["Bearer abc.def"]}', '{"token": "x"', None, "", "[" * 100_000, '"Bearer q"']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, j string")
+    found = [tuple(r.c) for r in df.select("i", redact_json_checked("j").alias("c")).orderBy("i").collect()]
+    bad = ("[REDACTED]", "malformed_json")
+    assert found == [('{"password": "[REDACTED]", "a": ["Bearer [REDACTED]"]}', None), bad, (None, None), bad, bad, ('"Bearer [REDACTED]"', None)]
+    variant = df.where("i IN (0, 2)").select(F.expr("parse_json(j)").alias("v"))
+    assert [r[0] for r in redact_columns(variant).select(F.to_json("v")).collect()] == ['{"a":["Bearer [REDACTED]"],"password":"[REDACTED]"}', None]

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siltstone.operators import costs, drift, features, forest
+from siltstone.operators import costs, drift, features, forest, ordering
 
 QUOTE = "ticker string, price double, volume long, quote_timestamp string"
 SALE = "opportunity_id string, lost_at string, estimated_value double"
@@ -13,26 +13,27 @@ SALE = "opportunity_id string, lost_at string, estimated_value double"
 
 def test_features(spark):
     quotes = spark.createDataFrame(
-        [("PETR4", 30.0, 1000, "1"), ("PETR4", 33.0, 2000, "2"), ("VALE3", 60.0, 1500, "3")], QUOTE
+        [("X", 8.0, 5, "1"), ("Y", 3.0, 9, "2"), ("X", 6.0, 1, "3"), ("X", 9.0, 5, "4")], QUOTE
     )
-    sales = spark.createDataFrame([("a", "1", 10000.0), ("b", "2", 20000.0), ("c", "3", 15000.0)], SALE)
-    got = features.build_features(quotes, sales, partitions=2).orderBy("row_index").collect()
-    assert [round(r["price_change_pct"], 6) for r in got] == [0.0, 0.1, 0.0]
-    assert [r["volume_zscore"] for r in got] == [-1.0, 1.0, 0.0]
-    assert [r["lost_sales_value_zscore"] for r in got] == [-1.0, 1.0, 0.0]
+    sales = spark.createDataFrame([("d", "1", 4.0), ("e", "2", 4.0), ("f", "3", 7.0), ("g", "4", 1.0), ("h", "5", 4.0)], SALE)
+    got = features.build_features(quotes, sales, ("volume",), partitions=2).orderBy("row_index").collect()
+    assert [r["price_change_pct"] for r in got] == [0.0, 0.0, -0.25, 0.5]
+    spread = math.sqrt(32 / 3)  # volumes 5, 9, 1, 5 around 5
+    assert [round(r["volume_zscore"], 9) for r in got] == [0.0, round(4 / spread, 9), round(-4 / spread, 9), 0.0]
+    assert [round(r["lost_sales_value_zscore"], 9) for r in got] == [0.0, 0.0, round(3 / math.sqrt(4.5), 9), round(-3 / math.sqrt(4.5), 9)]
 
 
 def test_features_of_empty_sides(spark):
     quotes = spark.createDataFrame([("A", 1.0, 1, "1"), ("A", 2.0, 2, "2")], QUOTE)
     nothing = spark.createDataFrame([], SALE)
-    got = features.build_features(quotes, nothing, partitions=2).collect()
+    got = features.build_features(quotes, nothing, ("volume",), partitions=2).collect()
     assert len(got) == 1 and got[0]["lost_sales_value_zscore"] == 0.0
-    assert features.build_features(spark.createDataFrame([], QUOTE), nothing, partitions=2).count() == 0
+    assert features.build_features(spark.createDataFrame([], QUOTE), nothing, ("volume",), partitions=2).count() == 0
 
 
 def test_change_against_zero(spark):
     data = [("A", p, 1, str(i)) for i, p in enumerate([0.0, 5.0, 0.0, 0.0, None, 4.0])]
-    got = features.price_change(spark.createDataFrame(data, QUOTE), partitions=2).orderBy("quote_timestamp").collect()
+    got = features.price_change(spark.createDataFrame(data, QUOTE), ("volume",), partitions=2).orderBy("quote_timestamp").collect()
     assert [r["price_change_pct"] for r in got] == [0.0, math.inf, -1.0, 0.0, 0.0, 0.0]
 
 
@@ -124,3 +125,21 @@ def test_promotion_candidates(spark):
     found = drift.promotion_candidates(aliases, drift.shadow_comparison(scores, ["model_name"])).collect()
     got = {r["model_name"]: (r["note"], r["champion_anomaly_rate"]) for r in found}
     assert got == {"m1": (None, 1.0), "m2": ("no champion yet", None), "m4": ("no current data", None)}
+
+
+def test_value_at_rank_against_sorting(spark):
+    rnd = random.Random(4)
+    values = [rnd.choice([0.5, 0.5, -3.0, rnd.gauss(0, 1), rnd.gauss(0, 1e-12), 1e9]) for _ in range(400)] + [5e-324, 0.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    ordered = sorted(v for v in values if v is not None)
+    for rank in (0, 7, 133, 200, 399, 401):
+        found, below = ordering.value_at_rank(df, "v", rank)
+        assert found == ordered[rank] and below == sum(v < found for v in ordered)
+    assert ordering.value_at_rank(df, "v", len(ordered)) is None and ordering.value_at_rank(df.limit(0), "v", 0) is None
+
+
+def test_offset_is_the_interpolated_quantile(spark):
+    scores = [round(math.sin(i) * 3, 1) for i in range(333)]
+    df = spark.createDataFrame([(s,) for s in scores], "raw_score double")
+    for share in (0.0, 0.05, 0.5, 0.731, 1.0):
+        assert forest.offset_of(df, share) == pytest.approx(float(np.quantile(scores, share)))

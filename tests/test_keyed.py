@@ -179,3 +179,16 @@ def test_rows_without_a_key_are_spread(spark):
         got = [(r["id"], r["v"]) for r in salted_join(big, lookup, ["k"], ["id"], how, 0.01).collect()]
         plain = [(r["id"], r["v"]) for r in big.join(lookup, "k", how).collect()]
         assert sorted(map(str, got)) == sorted(map(str, plain))
+
+
+def test_lag_by_key_is_one_exchange_and_takes_null_keys(spark):
+    rows = [("a" if i % 3 else None, i, float(i) if i % 7 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, at int, v double").repartition(5)
+    found = lag_by_key(df, "k", ["at"], "v", "prev", partitions=7)
+    by_key, expected = {}, {}
+    for k, at, v in rows:
+        expected[at] = by_key.get(k)
+        by_key[k] = v
+    assert {r["at"]: r["prev"] for r in found.collect()} == expected
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()  # the one exchange lies before the checkpoint
+    assert lag_by_key(df.limit(0), "k", ["at"], "v", "prev").count() == 0

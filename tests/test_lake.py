@@ -137,6 +137,17 @@ def test_usage_falls_back_to_run_durations(spark, tmp_path, rows):
     assert rows(usage.fetch_usage(spark, billing, runs, since)) == [("j", 90.0)]
     spark.sql("select 'b' job_name, timestamp'2026-01-02 00:00:00' usage_date, 2.5D quantity").write.parquet(billing)
     assert rows(usage.fetch_usage(spark, billing, runs, since)) == [("b", 2.5)]
+    broken = tmp_path / "broken"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_text("not a table")
+    assert rows(usage.fetch_usage(spark, str(broken), runs, since)) == [("j", 90.0)]
+
+
+def test_rows_without_a_key_are_all_kept_by_an_ordered_merge(spark, tmp_path, rows):
+    path, order = str(tmp_path / "silver"), [F.col("v").desc()]
+    for data in ([(None, 1), (None, 2), (7, 1)], [(None, 3), (7, 2)]):
+        lake.merge_into(spark, spark.createDataFrame(data, "k int, v int"), path, ["k"], order, 4, stays=order)
+    assert rows(spark.read.parquet(path), "k", "v") == [(7, 2), (None, 1), (None, 2), (None, 3)]
 
 
 def test_publish_sets_properties(spark, tmp_path):

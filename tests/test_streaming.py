@@ -4,11 +4,11 @@ from pyspark.sql import functions as F
 
 from siltstone.operators import telemetry
 from siltstone.plans.declared import CONTRACTS
-from siltstone.sources.lake import read_bronze, read_dlq
+from siltstone.sources.lake import read_bronze, read_dlq, read_ledger
 from siltstone.sources.topics import file_stream
 from siltstone.streaming.decisions import decision_stream
 from siltstone.streaming.ingest import append_stream, ingest_stream
-from siltstone.streaming.outbox import first_requests
+from siltstone.streaming.outbox import outbox_stream, read_outbox
 
 QUOTES = CONTRACTS["b3_quotes"]
 EVENT = "event_id long, decision_id string, verb string, actor_id string, actor_groups array<string>, reason string, ts timestamp"
@@ -43,6 +43,17 @@ def test_ingest_resumes_and_replays(spark, tmp_path):
     (tmp_path / "cp" / "commits" / f".{last.name}.crc").unlink(missing_ok=True)
     run()
     assert read_bronze(spark, root, QUOTES).count() == 3
+    assert read_ledger(spark, root).agg(F.sum("rows")).first()[0] == 5  # accepted and refused, counted once
+
+
+def test_another_checkpoint_leaves_the_first_streams_rows(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    for name in ("A", "B"):  # both number their batches from 0, on the same day
+        drop(tmp_path / name, "1.json", [quote(name), quote(None)])
+        for _ in range(2):
+            ingest_stream(file_stream(spark, str(tmp_path / name), 1), QUOTES, root, str(tmp_path / f"cp-{name}")).awaitTermination()
+    assert sorted(r["ticker"] for r in read_bronze(spark, root, QUOTES).collect()) == ["A", "B"]
+    assert read_dlq(spark, root).count() == 2 and read_ledger(spark, root).select("batch").distinct().count() == 2
 
 
 def event(i, decision, verb, at, groups=("g",), reason=None):
@@ -86,13 +97,65 @@ def test_decision_machine_over_several_batches(spark, tmp_path):
     }
 
 
-def test_outbox_stream_keeps_first_request(spark, tmp_path):
-    source, out = tmp_path / "in", str(tmp_path / "out")
-    for n, key in enumerate(["k1", "k1", "k2"]):
-        drop(source, f"{n}.json", [json.dumps({"idempotency_key": key, "ts": f"2026-01-01T0{n}:00:00Z"})])
-    stream = spark.readStream.schema("idempotency_key string, ts timestamp").option("maxFilesPerTrigger", 1).json(str(source))
-    append_stream(first_requests(stream), out, str(tmp_path / "cp")).awaitTermination()
-    assert sorted(r[0] for r in spark.read.schema("idempotency_key string").parquet(out).collect()) == ["k1", "k2"]
+def test_decisions_opened_on_the_stream_meet_verbs_that_came_before(spark, tmp_path):
+    out = str(tmp_path / "out")
+    opening = "decision_id string, action_type string, expires_at timestamp, opened_at timestamp"
+    noon = "2026-01-01T12:00:00Z"
+    batches = [  # verbs, openings
+        ([event(1, "d1", "approved", "2026-01-01T10:30:00Z"), event(2, "d1", "rejected", "2026-01-01T10:20:00Z", reason="r"),
+          event(3, "d2", "approved", "2026-01-01T10:00:00Z", groups=("x",)), event(4, "d4", "rejected", "2026-01-01T10:00:00Z")], []),
+        ([event(5, "d1", "approved", "2026-01-01T10:10:00Z"), event(6, "d9", "approved", "2026-01-01T10:00:00Z")],
+         [("d1", "act", noon), ("d2", "act", noon), ("d4", "act", noon), ("d5", "other", noon)]),
+        ([event(7, "d2", "approved", "2026-01-01T11:00:00Z"), event(8, "d1", "rejected", "2026-01-01T09:59:00Z", reason="late"),
+          event(9, "d5", "approved", "2026-01-01T11:00:00Z")], [("d2", "other", "2026-01-09T00:00:00Z")]),
+        ([event(10, "d6", "noted", "2026-01-03T00:00:00Z"), event(11, "d6", "approved", "2026-01-03T00:00:00Z")], []),
+    ]
+    for n, (verbs, opened) in enumerate(batches):
+        drop(tmp_path / "verbs", f"{n}.json", verbs)
+        rows = [json.dumps({"decision_id": d, "action_type": a, "expires_at": e, "opened_at": "2026-01-01T10:30:00Z"}) for d, a, e in opened]
+        drop(tmp_path / "openings", f"{n}.json", rows or [""])
+        settled = decision_stream(
+            spark.readStream.schema(EVENT).json(str(tmp_path / "verbs")), spark.createDataFrame([], "decision_id string, action_type string, expires_at timestamp"),
+            {"act": ["g", "h"], "bet": ["x"]}, openings=spark.readStream.schema(opening).json(str(tmp_path / "openings")),
+        )
+        append_stream(settled, out, str(tmp_path / "cp")).awaitTermination()
+    found = spark.read.parquet(out).collect()
+    got = {r["decision_id"]: (r["status"], r["actor_id"]) for r in found}
+    assert len(found) == len(got) == 4
+    assert got == {
+        "d1": ("approved", "a5"),  # the earliest of two early verbs and one that came with the opening
+        "d2": ("approved", "a7"),  # the second opening changes nothing
+        "d4": ("expired", "system:expiry"),  # a rejection without a reason
+        "d5": ("expired", "system:expiry"),  # an action the policy does not know
+    }
+
+
+REQUEST = "idempotency_key string, n long, ts timestamp"
+
+
+def test_outbox_never_forgets_a_key(spark, tmp_path):
+    source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), tmp_path / "cp"
+
+    def run():
+        stream = spark.readStream.schema(REQUEST).option("maxFilesPerTrigger", 1).json(str(source))
+        outbox_stream(stream, out, str(checkpoint), ["ts", "n"], buckets=4).awaitTermination()
+        return sorted((r["idempotency_key"], r["n"]) for r in read_outbox(spark, out, REQUEST).collect())
+
+    def send(name, *rows):
+        drop(source, name, [json.dumps({"idempotency_key": k, "n": n, "ts": ts}) for k, n, ts in rows])
+
+    send("1.json", ("k1", 2, "2026-01-01T00:00:00Z"), ("k1", 1, "2026-01-01T00:00:00Z"), ("k2", 3, "2026-01-01T01:00:00Z"))
+    send("2.json", ("k1", 4, "2026-01-01T02:00:00Z"))
+    assert run() == [("k1", 1), ("k2", 3)]
+    send("3.json", ("k1", 5, "2026-03-02T00:00:00Z"), ("k3", 6, "2025-01-01T00:00:00Z"))  # after 60 days, and long before
+    assert run() == run() == [("k1", 1), ("k2", 3), ("k3", 6)]
+    last = max((checkpoint / "commits").glob("[0-9]*"), key=lambda p: int(p.name))  # the commit is lost: the batch is run again
+    last.unlink()
+    (checkpoint / "commits" / f".{last.name}.crc").unlink(missing_ok=True)
+    assert run() == [("k1", 1), ("k2", 3), ("k3", 6)]
+    hot = [("k1" if n % 3 == 0 else f"h{n}", 100 + n, "2026-04-01T00:00:00Z") for n in range(300)]
+    send("4.json", *hot)
+    assert len(run()) == 3 + 200
 
 
 def test_rate_is_the_same_in_batch_and_stream(spark, tmp_path, rows):
