@@ -228,6 +228,24 @@ class _Words(dict):
         self.update(zip(self.words, range(len(self.words)), strict=True))
         self.sizes: list[int] = []
         self.flat: list[int] = []
+        # all sizes, starts and ids as arrays, brought up to date before they are read
+        self.known = [self.table_sizes, np.cumsum(self.table_sizes) - self.table_sizes, self.table_flat]
+        self.filled = [len(x) for x in self.known]
+        self.seen = [0, 0]
+
+    def _catch_up(self) -> None:
+        """Append what was folded since the last call; arrays double when they are full."""
+        sizes, flat = np.array(self.sizes[self.seen[0] :], np.int64), np.array(self.flat[self.seen[1] :], np.int32)
+        starts = self.filled[2] + np.cumsum(sizes) - sizes
+        self.seen = [len(self.sizes), len(self.flat)]
+        for i, more in enumerate((sizes, starts, flat)):
+            end = self.filled[i] + len(more)
+            if end > len(self.known[i]):
+                wider = np.zeros(2 * end, self.known[i].dtype)
+                wider[: self.filled[i]] = self.known[i][: self.filled[i]]
+                self.known[i] = wider
+            self.known[i][self.filled[i] : end] = more
+            self.filled[i] = end
 
     def __missing__(self, word: str) -> int:
         pieces = merge_bytes([self.bytes_of[b] for b in word.encode()], self.rank_of)
@@ -238,9 +256,8 @@ class _Words(dict):
 
     def ids(self, numbers: list[np.ndarray]) -> pa.ListArray:
         """The ids of each text, given as arrays of word numbers."""
-        sizes = np.concatenate([self.table_sizes, np.array(self.sizes, np.int64)])
-        flat = np.concatenate([self.table_flat, np.array(self.flat, np.int32)])
-        starts, out, ends = np.cumsum(sizes) - sizes, [np.zeros(0, np.int32)], [0]
+        self._catch_up()
+        (sizes, starts, flat), out, ends = self.known, [np.zeros(0, np.int32)], [0]
         for own in numbers:
             size = sizes[own]
             before = np.cumsum(size) - size
