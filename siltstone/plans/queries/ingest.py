@@ -109,6 +109,21 @@ def bronze_and_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    CHECKED_SQL
+    + """SELECT CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END AS batch, CASE WHEN reason IS NULL THEN 'bronze' ELSE 'dlq' END AS zone,
+  strftime(ts, '%Y-%m-%d') AS ingestion_date, CAST(count(*) AS BIGINT) AS rows FROM q WHERE event_type <> 'view' OR event_id % 2 = 1 GROUP BY ALL"""
+)
+def batch_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows written per batch, zone and day as the writer's ledger counts them; the even batch is written with all
+    its rows first and then corrected to be without views."""
+    root, checked = work_path(spark, "lake"), checked_quotes(spark, sf_dir).join(table(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
+    even, day = F.col("event_id") % 2 == 0, F.date_format("ts", "yyyy-MM-dd")
+    for name, rows in (("even", even), ("odd", ~even), ("even", even & (F.col("event_type") != "view"))):
+        lake.write_checked(checked.where(rows), QUOTES, root, day, moment(MONTH_END), name, backfill=True)
+    return lake.read_ledger(spark, root).where("rows > 0").select("batch", "zone", "ingestion_date", "rows")
+
+
 @register(
     """SELECT strftime(o_orderdate, '%Y') AS year, CAST(count(*) AS BIGINT) AS rows,
   round(sum(o_totalprice), 2) AS total, CAST(count(DISTINCT o_orderdate) AS BIGINT) AS days
