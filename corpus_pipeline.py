@@ -1,4 +1,10 @@
-"""The corpus pipeline: documents pass five stages, each of which calls one training-data operator."""
+"""The corpus pipeline: documents pass five stages, each of which calls one training-data operator.
+
+NULL and empty texts count as equal: the one with the largest id stays, has no near copies and no
+tokens. Equal rows, id included, fall or stay together. Rows that share an id but not a text fall
+together too. Of near copies the least id stays. Empty tables give empty results, and the columns of
+the documents, whatever they are, pass unchanged through all stages but the last.
+"""
 
 from __future__ import annotations
 
