@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -47,6 +48,7 @@ _INNER_ROWS = 256
 _BATCH = 4096
 _BLOCK_ROWS = 1024
 _FLUSH = 200_000
+_FEW = 6
 _RATE = 0.25
 
 
@@ -75,7 +77,8 @@ def word_kinds(train: DataFrame) -> DataFrame:
             for text in frame["text"]:
                 words = words_of(text)
                 own = Counter(words)
-                kind = sum(max(own.items(), key=lambda x: (x[1], x[0]))[0]) % KINDS if own else 0
+                most = max(own.values(), default=0)
+                kind = sum(max((w for w, n in own.items() if n == most), default=b"")) % KINDS
                 into = seen[kind]
                 size -= len(into)
                 into.update(words)
@@ -218,8 +221,18 @@ class Model:
         a, b = self.starts[c], self.starts[c + 1]
         return self.within[rows, a:b] + self.unigram[a:b]
 
-    def log_probabilities(self, numbers: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Natural logs; a word outside the table (-1) gets that of its class only."""
+    def inner_table(self) -> np.ndarray:
+        """Natural log of the share within its class of each model word, by inner row."""
+        table, rows = np.zeros_like(self.within), np.arange(_INNER_ROWS)
+        for c, group in enumerate(self.lexicon.members):
+            logits = self.inner_logits(c, rows)
+            logits -= logits.max(axis=1, keepdims=True)
+            table[:, group] = logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+        return table
+
+    def log_probabilities(self, numbers: np.ndarray, starts: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+        """Natural logs; a word outside the word table (-1) gets that of its class only. ``table``: the ``inner_table``, if at hand."""
+        table = self.inner_table() if table is None else table
         lexicon, out = self.lexicon, np.zeros(len(numbers))
         rows, inner_rows = self.features(numbers, starts)
         classes = self.classes(numbers)
@@ -228,12 +241,8 @@ class Model:
             out[at] = _log_chosen(self.class_logits(rows[at]), classes[at])
         rest = (classes == self.n_classes - 1) & (numbers >= 0)
         out[rest] += np.log(lexicon.counts[numbers[rest]] + 0.5) - np.log(lexicon.rest_weight)
-        for c, group in enumerate(lexicon.members):
-            if len(group) > 1:
-                own = np.flatnonzero(classes == c)
-                for part in range(0, len(own), _BATCH):
-                    at = own[part : part + _BATCH]
-                    out[at] += _log_chosen(self.inner_logits(c, inner_rows[at]), lexicon.inner[numbers[at]])
+        model = np.flatnonzero(classes < self.n_classes - 1)
+        out[model] += table[inner_rows[model], numbers[model]]
         return out
 
     def train(self, numbers: np.ndarray, starts: np.ndarray, memory: tuple[np.ndarray, np.ndarray]) -> None:
@@ -243,24 +252,48 @@ class Model:
         for part in range(0, len(numbers), _BATCH):
             at = slice(part, part + _BATCH)
             slope = _slope(self.class_logits(rows[at]), classes[at])
-            owner = np.repeat(np.arange(len(slope)), rows.shape[1])
-            self._step(self.outer, memory[0], rows[at].ravel(), slope, owner, slice(None))
+            self._step(self.outer, memory[0], *_row_sums(rows[at].ravel(), slope), slice(None))
+            order = np.argsort(classes[at].astype(np.uint8), kind="stable")
+            ends = np.cumsum(np.bincount(classes[at], minlength=self.n_classes))
             for c, group in enumerate(self.lexicon.members):
-                own = part + np.flatnonzero(classes[at] == c)
+                own = part + order[ends[c - 1] if c else 0 : ends[c]]
                 if len(group) > 1 and len(own):
-                    slope = _slope(self.inner_logits(c, inner_rows[own]), self.lexicon.inner[numbers[own]])
-                    columns = slice(self.starts[c], self.starts[c + 1])
-                    self._step(self.within, memory[1], inner_rows[own], slope, np.arange(len(own)), columns)
+                    # tokens of one inner row have one softmax
+                    uses = np.bincount(inner_rows[own], minlength=_INNER_ROWS)
+                    touched = np.flatnonzero(uses)
+                    place = np.cumsum(uses > 0) - 1
+                    logits = self.inner_logits(c, touched)
+                    logits -= logits.max(axis=1, keepdims=True)
+                    total = np.exp(logits, out=logits)
+                    total *= (uses[touched] / total.sum(axis=1))[:, None].astype(np.float32)
+                    spots = place[inner_rows[own]] * len(group) + self.lexicon.inner[numbers[own]]
+                    total -= np.bincount(spots, minlength=total.size).reshape(total.shape).astype(np.float32)
+                    self._step(self.within, memory[1], touched, total, slice(self.starts[c], self.starts[c + 1]))
 
     @staticmethod
-    def _step(weights: np.ndarray, memory: np.ndarray, rows: np.ndarray, slope: np.ndarray, owner: np.ndarray, columns: slice) -> None:
-        order = np.argsort(rows.astype(np.uint16), kind="stable")  # all row numbers are below 2^16; such are sorted by radix
-        rows = rows[order]
-        first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        total = np.add.reduceat(slope[owner[order]], first, axis=0)
-        at = rows[first]
-        memory[at] += (total * total).mean(axis=1)
-        weights[at, columns] -= (_RATE / np.sqrt(memory[at] + 1.0))[:, None] * total
+    def _step(weights: np.ndarray, memory: np.ndarray, rows: np.ndarray, total: np.ndarray, columns: slice) -> None:
+        """One adaptive step of distinct rows against the sums of their slopes."""
+        memory[rows] += np.einsum("ij,ij->i", total, total) / total.shape[1]
+        total *= (_RATE / np.sqrt(memory[rows] + 1.0))[:, None]
+        weights[rows, columns] -= total
+
+
+def _row_sums(rows: np.ndarray, slope: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of ``rows``, of which each row of ``slope`` has an equal number, and the sums of their slopes."""
+    order = np.argsort(rows.astype(np.uint16), kind="stable")  # all row numbers are below 2^16; such are sorted by radix
+    rows, owner = rows[order], order // (len(rows) // len(slope))
+    first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    uses = np.diff(first, append=len(rows))
+    total = np.take(slope, owner[first], axis=0)
+    for k in range(1, _FEW):  # most rows are used a few times: add those uses one by one
+        more = np.flatnonzero((uses > k) & (uses <= _FEW))
+        total[more] += np.take(slope, owner[first[more] + k], axis=0)
+    many = np.flatnonzero(uses > _FEW)
+    if len(many):
+        ends = np.cumsum(uses[many])
+        spots = np.arange(ends[-1]) + np.repeat(first[many] - (ends - uses[many]), uses[many])
+        total[many] = np.add.reduceat(np.take(slope, owner[spots], axis=0), ends - uses[many], axis=0)
+    return rows[first], total
 
 
 def _numbers(frame: pd.DataFrame, number: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]], np.ndarray]:
@@ -270,7 +303,7 @@ def _numbers(frame: pd.DataFrame, number: dict[bytes, int]) -> tuple[np.ndarray,
     sizes, rest = [], []
     for text in frame["text"]:
         words = words_of(text)
-        found = [get(w, -1) for w in words]
+        found = list(map(get, words, repeat(-1)))
         rest.append([w for w, i in zip(words, found, strict=True) if i < 0] if -1 in found else [])
         flat += found
         flat.append(end)
@@ -346,13 +379,14 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
         own = shared.value
         number = {w: i for i, w in enumerate(own.lexicon.words)}
         base = np.log10(np.concatenate([own.lexicon.counts, [0.0]]) + 0.5)
+        table = own.inner_table()
         row = TaskContext.get().partitionId() << 33
         for whole in frames:
             for frame in _slices(whole):
                 numbers, starts, rest, sizes = _numbers(frame, number)
                 first = np.flatnonzero(starts)
                 known = numbers >= 0
-                logs = own.log_probabilities(numbers, starts) / np.log(10)
+                logs = own.log_probabilities(numbers, starts, table) / np.log(10)
                 bases = np.where(known, base[numbers], 0.0)
                 yield pd.DataFrame(
                     {
