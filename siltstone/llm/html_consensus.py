@@ -9,7 +9,7 @@ voted path that the page has, or its own best one if it has none.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are
 left out wherever they stand; a container is one of them by its element, role or a whole class or id,
-and by class or id only if it does not hold nearly all text of the page. NULL and empty html give an empty text; pages without a host vote
+and by class or id, or as a form, fieldset, dialog or aside, only if it does not hold nearly all text of the page. NULL and empty html give an empty text; pages without a host vote
 together. Rows that repeat vote and are extracted one by one; empty tables give empty results;
 other columns are never read.
 """
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 
 WINNERS = 5
 NEARLY_ALL = 0.9
+# A form that holds the page holds a paragraph of this many code points; the labels of a login do not.
+PARAGRAPH = 100
 
 # Element names of the HTML standard, and words that name what is not an article.
 _SILENT = frozenset("head title script style noscript template svg math textarea select button iframe object canvas audio video datalist".split())
@@ -36,7 +38,9 @@ _CONTAINERS = frozenset(
     "html body main article section div td table tbody tr ul ol dl nav header footer aside form figure blockquote details center dialog fieldset menu search".split()
 )
 _BLOCKS = _CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre th thead tfoot caption figcaption hr address hgroup legend summary option".split())
-_OUTSIDE = frozenset("nav header footer aside form menu dialog search fieldset".split())
+_OUTSIDE = frozenset("nav header footer menu search".split())
+# left out as well, but for one around the whole page, as server pages put it
+_WRAPPERS = frozenset("aside form dialog fieldset".split())
 _OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _OUTSIDE_WORD = re.compile(
     r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|comments?|commentlist|"
@@ -71,6 +75,7 @@ class _Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.paths, self.parents, self.outside, self.tags = [""], [-1], [False], [""]
         self.by_name = [False]  # left out for a class or id
+        self.wrapper = [False]
         self.heading = False
         self.open = [0]
         self.silent: list[str] = []
@@ -120,6 +125,7 @@ class _Page(HTMLParser):
             self.by_name.append(
                 (tag not in ("html", "body", "main", "article") and _says_outside(names)) or (tag == "article" and _says_outside(names, _COMMENT_WORD))
             )
+            self.wrapper.append(tag in _WRAPPERS)
             self.open.append(len(self.paths) - 1)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -151,26 +157,39 @@ class _Page(HTMLParser):
             if self.links:
                 self.link_chars += len(data)
 
-
-    def leave_out_named(self) -> None:
-        """Drop the blocks of containers left out for a class or id, but for those that hold nearly all text."""
-        held = [0] * len(self.paths)
-        for at, text, _ in self.blocks:
+    def _held(self) -> tuple[list[int], list[int]]:
+        """Of each container the characters below it, and those of its longest block but for links."""
+        held, longest = [0] * len(self.paths), [0] * len(self.paths)
+        for at, text, link_chars in self.blocks:
             held[at] += len(text)
+            longest[at] = max(longest[at], len(text) - link_chars)
         for at in range(len(held) - 1, 0, -1):
-            held[self.parents[at]] += held[at]
-        for at in range(1, len(held)):
-            self.outside[at] |= self.outside[self.parents[at]] or (self.by_name[at] and held[at] < NEARLY_ALL * held[0])
+            parent = self.parents[at]
+            held[parent] += held[at]
+            longest[parent] = max(longest[parent], longest[at])
+        return held, longest
+
+    def _leave_out(self, lost: list[bool]) -> None:
+        for at in range(1, len(lost)):
+            self.outside[at] |= self.outside[self.parents[at]] or lost[at]
         kept = [i for i, (at, _, _) in enumerate(self.blocks) if not self.outside[at]]
         self.blocks, self.headings = [self.blocks[i] for i in kept], [self.headings[i] for i in kept]
 
+    def leave_out_parts(self) -> None:
+        """Drop the blocks of forms and the like, then of containers named by class or id, but for those that hold nearly all text."""
+        held, longest = self._held()
+        whole = [n >= NEARLY_ALL * held[0] and most >= PARAGRAPH for n, most in zip(held, longest, strict=True)]
+        self._leave_out([wrapper and not own for wrapper, own in zip(self.wrapper, whole, strict=True)])
+        held, _ = self._held()
+        self._leave_out([named and n < NEARLY_ALL * held[0] for named, n in zip(self.by_name, held, strict=True)])
+
 
 def parse(html: str) -> _Page:
     page = _Page()
     page.feed(html)
     page.close()
     page.flush()
-    page.leave_out_named()
+    page.leave_out_parts()
     return page
 
 

@@ -260,3 +260,16 @@ def test_pipeline_stages_keep_clean_documents(spark):
     clean = corpus_pipeline.drop_contaminated(spark, docs, sf)
     assert clean.columns == docs.columns
     assert {r.doc_id for r in clean.collect()} == {i for i, t in texts.items() if not any(x in t for x in items)}
+
+
+def test_forms_around_the_whole_page_are_read():
+    body = "A paragraph of the article that says enough to be read as text and not as the label of a field. " * 3
+    menu = '<nav><a href="/">Home</a></nav>'
+    comment = '<form class="comment-form"><label>Your name</label><textarea>x</textarea><p>Leave a reply below.</p></form>'
+    for wrapper in ("form", "fieldset", "dialog", "aside"):
+        html = f"<body><{wrapper}>{menu}<div><h1>Title</h1><p>{body}</p></div><footer>Contact</footer></{wrapper}></body>"
+        assert html_consensus.extract(html, []) == f"Title\n{body.strip()}"
+    assert html_consensus.extract(f"<body><article><p>{body}</p>{comment}</article></body>", []) == body.strip()
+    assert html_consensus.extract("<body><form><label>User name</label><p>Password</p></form></body>", []) == ""
+    wide = f"<form><p>{body * 5}</p></form>"  # a long form does not make the sidebar around it the article
+    assert html_consensus.extract(f'<body><article><p>{body}</p></article><div class="sidebar"><p>Read more</p>{wide}</div></body>', []) == body.strip()
