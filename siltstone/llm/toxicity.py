@@ -157,12 +157,12 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Toxic
     share = both.get(1, 0) / max(sum(both.values()), 1)
     if len(both) < 2:
         return ToxicityModel({}, None, None, share)
-    learned = learn_lexicon(train)
-    wide = stored(with_features(train, learned, ["doc_id", "label"]).withColumn("part", F.pmod(spot, F.lit(5))), "toxicity-features")
-    wide = wide.withColumn("x", array_to_vector("x"))
-    first, second = wide.where("part != 0"), wide.where("part = 0")
-    if min((second.where(F.col("label") == v).count() for v in (0, 1))) == 0 or first.select("label").distinct().count() < 2:
-        first = second = wide
+    train = train.withColumn("part", F.pmod(spot, F.lit(5)))
+    # with a label missing on one side, all rows serve for both
+    apart = train.select("label", F.col("part") == 0).distinct().count() == 4
+    learned = learn_lexicon(train.where("part != 0") if apart else train)  # words of the calibration's rows stay unknown
+    wide = stored(with_features(train, learned, ["doc_id", "label", "part"]), "toxicity-features").withColumn("x", array_to_vector("x"))
+    first, second = (wide.where("part != 0"), wide.where("part = 0")) if apart else (wide, wide)
     boosted = GBTClassifier(featuresCol="x", labelCol="label", maxIter=20, maxDepth=4, stepSize=0.2, seed=7, subsamplingRate=1.0)
     trees = boosted.fit(first.select("x", "label"))
     raw = trees.transform(second).select(vector_to_array("probability")[1].alias("raw"), F.col("label").cast("double").alias("label"))
@@ -173,11 +173,11 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Toxic
 def toxicity(
     df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label_key: str = "doc_id", label: str = "toxic"
 ) -> DataFrame:
-    """One row per row of ``df``: doc_id, held_out, score, predicted."""
+    """One row per row of ``df``: doc_id, held_out, score, predicted, text_sha256."""
     docs = id_and_text(df, key, text)
     known = labels.select(labels[label_key].alias("doc_id"), labels[label].alias("label"))
     model = fit(docs, known)
-    scored = model.score(docs, ["doc_id"])
+    scored = model.score(docs.withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256)), ["doc_id", "text_sha256"])
     return scored.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "text_sha256"
     )
