@@ -1,9 +1,10 @@
 """The corpus pipeline: documents pass five stages, each of which calls one training-data operator.
 
 NULL and empty texts count as equal: the one with the largest id stays, has no near copies and no
-tokens. Equal rows, id included, fall or stay together. Rows that share an id but not a text fall
-together too. Of near copies the least id stays. Empty tables give empty results, and the columns of
-the documents, whatever they are, pass unchanged through all stages but the last.
+tokens. Rows are known by id and text: of rows equal in both, exact dedup keeps the first by its other
+columns, and rows that share an id but not a text are judged one by one. Of near copies the least id
+stays. Empty tables give empty results, and the columns of the documents, whatever they are, pass
+unchanged through all stages but the last.
 """
 
 from __future__ import annotations
@@ -11,39 +12,84 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltstone.llm.byte_bpe import decode, encode
-from siltstone.llm.chosen_path import jaccard_join
-from siltstone.llm.common import stored, without_ids
+from siltstone.llm.chosen_path import WORDS, document_sets, jaccard_join
+from siltstone.llm.common import stored, whole_text, without_ids
 from siltstone.llm.decontaminate import decontaminate
 from siltstone.llm.exact_dedup import exact_dedup
 from siltstone.llm.queries import BYTE_RANKS, read
 from siltstone.llm.toxicity import toxicity
 
 
+def text_digest(docs: DataFrame) -> Column:
+    return F.sha2(whole_text(docs, "text").cast("binary"), 256)
+
+
+def _same(docs: DataFrame, named: DataFrame) -> Column:
+    return docs["doc_id"].eqNullSafe(named["_named_id"]) & (text_digest(docs) == named["_named_text"])
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("doc_id").alias("_named_id"), F.col("text_sha256").alias("_named_text"))
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows whose id and text are not in ``gone`` (doc_id, text_sha256); NULL ids compare equal."""
+    named = _named(gone)
+    return docs.join(named, _same(docs, named), "left_anti")
+
+
+def once(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Of rows equal in id and text the first by all columns; ``rows``: (doc_id, text_sha256) of each."""
+    named = _named(rows).groupBy("_named_id", "_named_text").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    named = stored(named, "pipeline-repeated")
+    if named.isEmpty():
+        return docs
+    several = docs.join(named, _same(docs, named), "left_semi")
+    own = W.partitionBy("doc_id", text_digest(several)).orderBy(F.to_json(F.struct(*[several[c] for c in docs.columns])))
+    first = several.withColumn("_place", F.row_number().over(own)).where("_place = 1").drop("_place")
+    return docs.join(named, _same(docs, named), "left_anti").unionByName(first)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
     judged = toxicity(docs, read(spark, sf_dir, "labels"))
-    return without_ids(docs, "doc_id", judged.where("predicted = 1").select("doc_id"))
+    return without_rows(docs, judged.where("predicted = 1"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the largest id."""
-    return without_ids(docs, "doc_id", exact_dedup(docs).where("not kept").select("doc_id"))
+    """Of equal texts, the document with the largest id, once."""
+    judged = stored(exact_dedup(docs).select("doc_id", "text_sha256", "kept"), "pipeline-copies")
+    return once(without_rows(docs, judged.where("not kept")), judged.where("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group joined by five-word Jaccard links of 0.8 or more, the document with the least id."""
-    grouped = jaccard_join(docs)
-    return without_ids(docs, "doc_id", grouped.where(F.col("doc_id") != F.col("class_id")).select("doc_id"))
+    gone = jaccard_join(docs).where(F.col("doc_id") != F.col("class_id")).select("doc_id", "set_key")
+    texts = docs.select("doc_id", whole_text(docs, "text").alias("text"), text_digest(docs).alias("text_sha256"))
+    several = texts.groupBy("doc_id").agg(F.min("text_sha256").alias("least"), F.max("text_sha256").alias("most"))
+    several = stored(several.where("least != most and doc_id is not null").select("doc_id"), "pipeline-shared-ids")
+    if several.isEmpty():
+        return without_ids(docs, "doc_id", gone.select("doc_id"))
+    # ids that have several texts: the set that goes is looked up for each of their texts
+    shared = stored(texts.join(several, "doc_id", "left_semi"), "pipeline-shared-texts")
+    distinct = shared.select(F.col("text_sha256").alias("doc_id"), "text").dropDuplicates(["doc_id"])
+    sets = document_sets(distinct, WORDS).select(F.col("doc_id").alias("text_sha256"), "set_key")
+    lost = shared.select("doc_id", "text_sha256").join(sets, "text_sha256").join(gone, ["doc_id", "set_key"], "left_semi")
+    alone = gone.join(several, "doc_id", "left_anti").select("doc_id")
+    return without_rows(without_ids(docs, "doc_id", alone), lost)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages."""
-    judged = decontaminate(docs, read(spark, sf_dir, "benchmark"))
-    return without_ids(docs, "doc_id", judged.where("contaminated").select("doc_id"))
+    texts = docs.select(text_digest(docs).alias("digest"), whole_text(docs, "text").alias("text"))  # a text is judged by itself
+    judged = stored(decontaminate(texts, read(spark, sf_dir, "benchmark"), key="digest").where("contaminated").select("doc_id"), "pipeline-leaks")
+    named = judged.distinct().withColumnRenamed("doc_id", "_named_text")
+    return docs.join(named, text_digest(docs) == named["_named_text"], "left_anti")
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
