@@ -1,9 +1,8 @@
 """Exact top-k retrieval: vectors, BM25 text scores, rank fusion and reranking.
 
-Text search joins the terms of the queries with postings and adds up per (query, document), all in
-built-in expressions. Vector search deals the vectors into groups of bounded size and gives each
-group the queries, a block at a time; a group scores with matrix products and keeps k rows per
-query. Neither queries nor scores pass through the driver, and nothing is dropped.
+Postings and vectors are dealt into groups of bounded size, and each group meets the queries, a block
+at a time; a group scores text by adding up its postings, vectors with matrix products, and keeps
+k rows per query. Neither queries nor scores pass through the driver, and nothing is dropped.
 """
 
 from __future__ import annotations
@@ -13,13 +12,14 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions import text as tx
 from siltstone.functions.guards import require_rows
+from siltstone.session import cut_lineage
 
 # Candidates fetched, results kept after reranking.
 CANDIDATES = 10
@@ -31,6 +31,7 @@ QUERY_BLOCK = 4096
 # Scores are compared at this many decimals, so equal documents tie wherever they are stored.
 DECIMALS = 9
 _CELLS = 4_000_000
+POSTINGS = 250_000
 
 
 class _Best:
@@ -90,10 +91,18 @@ def _directions(table: pa.Table) -> np.ndarray:
 
 def top_per_query(scored: DataFrame, k: int, score: str = "score") -> DataFrame:
     """The k best rows per query with their 1-based rank; Spark prunes before the exchange."""
-    order = W.partitionBy("query_id").orderBy(F.col(score).desc(), F.col("id").asc())
+    order = W.partitionBy("query_id").orderBy(F.round(score, DECIMALS).desc(), F.col("id").asc())
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _one_of(n: int, *columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
+
+
+def _each_of(n: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+
 def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = CANDIDATES, block: int = QUERY_BLOCK) -> DataFrame:
     """Cosine top-k. ``queries``: query_id, vector; ``corpus``: id, vector (NULL vectors are skipped).
 
@@ -106,18 +115,12 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = CANDIDATES, bloc
     cells = rows.agg(F.coalesce(F.sum(F.size("vector")), F.lit(0))).first()[0]
     groups, blocks = max(1, math.ceil(cells / _CELLS)), max(1, math.ceil(asked.count() / block))
 
-    def one_of(n: int, *columns: str):
-        return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
-
-    def each_of(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
     none_of = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields}
     left = asked.select(
-        F.lit(True).alias("asked"), "query_id", none_of["id"], "vector", one_of(blocks, "query_id").alias("block"), each_of(groups).alias("group")
+        F.lit(True).alias("asked"), "query_id", none_of["id"], "vector", _one_of(blocks, "query_id").alias("block"), _each_of(groups).alias("group")
     )
     right = rows.select(
-        F.lit(False).alias("asked"), none_of["query_id"], "id", "vector", each_of(blocks).alias("block"), one_of(groups, "id", "vector").alias("group")
+        F.lit(False).alias("asked"), none_of["query_id"], "id", "vector", _each_of(blocks).alias("block"), _one_of(groups, "id", "vector").alias("group")
     )
 
     def search(table: pa.Table) -> pa.Table:
@@ -146,23 +149,87 @@ def text_index(docs: DataFrame) -> DataFrame:
     return rows.groupBy("term", "id", "length").agg(F.count("*").alias("tf"))
 
 
-def bm25_topk(queries: DataFrame, index: DataFrame, k: int = CANDIDATES) -> DataFrame:
+def bm25_topk(queries: DataFrame, index: DataFrame, k: int = CANDIDATES, postings: int = POSTINGS) -> DataFrame:
     """BM25 top-k of ``queries`` (query_id, text) over a text index; documents sharing no term are left out.
 
     idf = ln(1 + (N - df + 0.5) / (df + 0.5)), k1 = 1.2, b = 0.75, each query term counted once.
-    Postings of other terms stay behind before the exchange; one of a frequent term is split by AQE.
+    Postings of other terms stay behind before the exchange. The others are dealt by document into
+    groups of about ``postings`` rows, so a frequent term spreads over all groups; each group meets
+    the queries' terms, a block at a time, and keeps k rows per query. Scores are compared rounded
+    and returned as they are.
     """
-    terms = queries.select("query_id", F.explode(F.array_distinct(tx.tokens(F.col("text")))).alias("term"))
+    terms = queries.select("query_id", F.explode(F.array_distinct(tx.tokens(F.col("text")))).alias("term")).distinct()
     docs = index.where("term is null")
     total, mean = docs.agg(F.count("*")).scalar(), docs.agg(F.greatest(F.avg("length"), F.lit(1e-300))).scalar()
     gain = F.col("tf") * (K1 + 1.0) / (F.col("tf") + K1 * (1.0 - B + B * F.col("length") / mean))
-    named = index.where("term is not null").join(terms.select("term").distinct(), "term", "left_semi")
-    df = named.groupBy("term").agg(F.count("*").alias("df"))
+    askers = terms.groupBy("term").agg(F.count("*").alias("askers"))
+    df = index.where("term is not null").join(askers.select("term"), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
+    known = cut_lineage(df.join(askers, "term"))
     idf = F.log(1.0 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    asked = terms.join(df.select("term", idf.alias("idf")), "term")
-    scored = named.select("term", "id", gain.alias("gain")).join(asked, "term")
-    sums = scored.groupBy("query_id", "id").agg(F.round(F.sum(F.col("gain") * F.col("idf")), DECIMALS).alias("score"))
-    return top_per_query(sums.where("score > 0"), k)
+    asked = terms.join(known.select("term", idf.alias("weight")), "term")
+    named = index.join(known.select("term"), "term", "left_semi")
+    rows, pairs = known.agg(F.coalesce(F.sum("df"), F.lit(0)), F.coalesce(F.sum("askers"), F.lit(0))).first()
+    groups, blocks = max(1, math.ceil(rows / postings)), max(1, math.ceil(pairs / postings))
+    schema = _result_schema(asked, index)
+    left = asked.select(
+        F.lit(True).alias("asked"), "query_id", F.lit(None).cast(schema["id"].dataType).alias("id"), "term", "weight",
+        _one_of(blocks, "query_id").alias("block"), _each_of(groups).alias("group"),
+    )
+    right = named.select(
+        F.lit(False).alias("asked"), F.lit(None).cast(schema["query_id"].dataType).alias("query_id"), "id", "term", gain.alias("weight"),
+        _each_of(blocks).alias("block"), _one_of(groups, "id").alias("group"),
+    )
+    found = left.unionByName(right).groupBy("block", "group").applyInArrow(lambda table: _text_scores(table, k), schema)
+    return top_per_query(found, k)
+
+
+def _sorted_values(column: pa.ChunkedArray) -> pa.Array:
+    """The distinct values in order, NULL first."""
+    values = pc.unique(column)
+    return values.take(pc.array_sort_indices(values, null_placement="at_start"))
+
+
+def _codes(column: pa.ChunkedArray, values: pa.Array) -> np.ndarray:
+    """Positions in ``values``, -1 for what is not there."""
+    return pc.fill_null(pc.index_in(column, value_set=values), -1).to_numpy().astype(np.int64)
+
+
+def _text_scores(table: pa.Table, k: int) -> pa.Table:
+    """The k best documents of a group for each query: postings in the order of terms, added up query by query."""
+    mine, others = table.filter(table["asked"]), table.filter(pc.invert(table["asked"]))
+    names, ids, terms = _sorted_values(mine["query_id"]), _sorted_values(others["id"]), _sorted_values(others["term"])
+    doc, term, gain = _codes(others["id"], ids), _codes(others["term"], terms), others["weight"].to_numpy()
+    # sorted by term, so that equal documents add up in the same order in whatever group they are
+    order = np.argsort(term, kind="stable")
+    doc, gain = doc[order], gain[order]
+    ends = np.cumsum(np.bincount(term, minlength=len(terms)))
+    asker, wanted, weight = _codes(mine["query_id"], names), _codes(mine["term"], terms), mine["weight"].to_numpy()
+    order = np.lexsort((wanted, asker))
+    order = order[wanted[order] >= 0]
+    asker, wanted, weight = asker[order], wanted[order], weight[order]
+    starts = np.searchsorted(asker, np.arange(len(names) + 1))
+    picked: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    for q in range(len(names)):
+        own = range(starts[q], starts[q + 1])
+        if not own:
+            continue
+        spans = [slice(ends[wanted[i] - 1] if wanted[i] else 0, ends[wanted[i]]) for i in own]
+        at, add = np.concatenate([doc[s] for s in spans]), np.concatenate([gain[s] * weight[i] for s, i in zip(spans, own, strict=True)])
+        if len(at) * 4 < len(ids):
+            met, at = np.unique(at, return_inverse=True)
+            scores = np.bincount(at, add)
+        else:
+            scores = np.bincount(at, add, minlength=len(ids))
+            met = np.flatnonzero(scores)
+            scores = scores[met]
+        compared = -np.round(scores, DECIMALS)
+        if len(met) > k:
+            near = np.flatnonzero(compared <= np.partition(compared, k - 1)[k - 1])
+            met, scores, compared = met[near], scores[near], compared[near]
+        best = np.lexsort((met, compared))[:k]
+        picked.append((np.full(len(best), q), met[best], scores[best]))
+    who, what, score = (np.concatenate(parts) for parts in zip(*picked, strict=True))
+    return pa.table({"query_id": names.take(pa.array(who)), "id": ids.take(pa.array(what)), "score": pa.array(score, pa.float64())})
 
 
 def fuse(a: DataFrame, b: DataFrame, k: int = CANDIDATES) -> DataFrame:

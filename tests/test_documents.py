@@ -73,14 +73,26 @@ def brute_bm25(queries, texts, k):
     return result
 
 
-def test_bm25_matches_brute_force(spark):
+@pytest.mark.parametrize("postings", [250_000, 7])
+def test_bm25_matches_brute_force(spark, postings):
     texts, queries = corpus(), ["the w1 w2", "w3 w3 w9", "nothing here", texts_query()]
     docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(5)
     asked = spark.createDataFrame(list(enumerate(queries)), "query_id int, text string")
-    found = retrieval.bm25_topk(asked, retrieval.text_index(docs), k=6)
+    found = retrieval.bm25_topk(asked, retrieval.text_index(docs), 6, postings)
     assert {(r["query_id"], r["id"], r["rank"]) for r in found.collect()} == brute_bm25(queries, texts, 6)
 
 
+def test_bm25_with_missing_ids_ties_and_no_match(spark):
+    docs = spark.createDataFrame([(n, "same words") for n in [None, *range(30, 0, -1)]] + [(99, None), (98, "")], "id long, text string")
+    index = retrieval.text_index(docs).repartition(4)
+    asked = spark.createDataFrame([("a", "words"), ("b", "other"), (None, "same"), ("c", None)], "query_id string, text string")
+    for postings in (250_000, 5):
+        found = retrieval.bm25_topk(asked, index, 4, postings).collect()
+        assert sorted((r["query_id"] or "", r["rank"], r["id"]) for r in found) == [(q, n + 1, i) for q in ("", "a") for n, i in enumerate([None, 1, 2, 3])]
+    assert retrieval.bm25_topk(asked.where("query_id = 'b'"), index, 4).count() == 0
+    assert retrieval.bm25_topk(asked.limit(0), index.limit(0), 4).count() == 0
+
+
 def texts_query():
     return corpus()[3]
 
