@@ -57,9 +57,26 @@ def shared_root(spark: SparkSession) -> str:
     return _LOCAL_ROOT
 
 
+_RUN_ROOTS: dict[tuple[str, str], str] = {}
+
+
+def run_root(spark: SparkSession) -> str:
+    """This application's own folder below the shared one; its driver deletes it when it ends."""
+    root, context = shared_root(spark), spark.sparkContext
+    key = (root, context.applicationId)
+    if key not in _RUN_ROOTS:
+        folder = f"{root}/run-{uuid.uuid4().hex}"
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _RUN_ROOTS[key] = folder
+    return _RUN_ROOTS[key]
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder for one run."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for one run of an operator, gone when the application ends."""
+    return f"{run_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
