@@ -9,13 +9,13 @@ notice yields to a longer one that contains it and is there as well, and a bare
 rights yields to any window that names a licence. Headers and templates are sparse vectors of term frequency times inverse
 document frequency over the templates (terms of no template weigh as if they were in none of them);
 a header's licence is that of the nearest template, if the cosine reaches the threshold, and a file's
-own licence is that of its best header. A directory has the licence of its best licensed file;
-files without a licence of their own inherit from the nearest directory above them that has one.
+own licence is that of its best header. A directory has the licence of its best file that is called
+like a licence and has one, else that of its best licensed file; files without a licence of their own inherit from the nearest directory above them that has one.
 
 Only DataFrame functions are used. The scan is one pass without a shuffle; directories, not files, are
 joined with their ancestors. NULL and empty texts have no licence of their own; a file with a NULL path
 inherits nothing and licenses no directory. Of headers of one score the greatest licence name wins, of
-licensed files of a directory the best score, then the greatest name. Rows that repeat are scanned one
+licence files, or other licensed files, of a directory the best score, then the greatest name. Rows that repeat are scanned one
 by one. Empty tables give empty results; other columns are never read.
 """
 
@@ -269,8 +269,10 @@ def scan(df: DataFrame, key: str, path: str, text: str = "text", threshold: floa
     """One row per row of ``df``: doc_id, path, own_licence, own_score, licence, inherited_from."""
     found = df.select(df[key].alias("doc_id"), df[path].alias("path"), own_licences(df, path, text, threshold).alias("own"))
     files = stored(found.withColumn("dir", parent(F.col("path"))), "licence-files")
-    licensed = files.where(F.col("own").isNotNull() & F.col("dir").isNotNull()).groupBy("dir").agg(F.max("own").alias("best"))
-    licensed = licensed.select(F.col("dir").alias("above"), F.col("best.licence").alias("licence"))
+    # a file called like a licence speaks for its directory before any header there
+    claim = F.struct(F.col("path").rlike(LICENCE_FILE).alias("named"), "own")
+    licensed = files.where(F.col("own").isNotNull() & F.col("dir").isNotNull()).groupBy("dir").agg(F.max(claim).alias("best"))
+    licensed = licensed.select(F.col("dir").alias("above"), F.col("best.own.licence").alias("licence"))
     # each directory once, with itself and all directories above it
     dirs = files.where(F.col("own").isNull() & F.col("dir").isNotNull()).select("dir").distinct()
     parts = F.split("dir", "/")

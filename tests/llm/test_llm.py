@@ -217,6 +217,23 @@ def test_licences_are_inherited(spark):
     assert licenses.scan(files.where("false"), "k", "path").count() == 0
 
 
+def test_licence_files_come_before_headers(spark):
+    gpl = "// This work is licensed under the GNU General Public License, version 3."
+    rows = [
+        ("a/LICENSE", "MIT License"), ("a/vendored.py", gpl), ("a/vendored.py", gpl), ("a/x.py", "code"), ("a/b/x.py", ""),
+        ("c/COPYING", "nothing of the kind"), ("c/y.py", gpl), ("c/z.py", None), ("d/z.py", "word " * 200_000),
+    ]
+    # columns of the operator's own names, and rows that repeat
+    files = spark.createDataFrame([(i, p, t, "x", 1.0) for i, (p, t) in enumerate(rows)], "k long, p string, t string, dir string, own double")
+    scanned = licenses.scan(files, "k", "p", "t").collect()
+    found = {r.doc_id: (r.own_licence, r.licence, r.inherited_from) for r in scanned}
+    assert len(scanned) == len(rows)
+    assert found[0][1] == found[3][1] == found[4][1] and found[3][2] == found[4][2] == "a"
+    assert found[1] == found[2] and found[1][0] == found[1][1] and found[1][0] == "GPL-3.0" and found[3][1] == "MIT"
+    assert found[5][2] == found[7][2] == "c" and found[7][1] == found[6][0] == found[1][0]  # a licence file that says nothing gives nothing
+    assert found[8] == (None, None, None)
+
+
 def test_licences_of_wrapped_and_inner_notices(spark):
     wrap = lambda text, mark="# ", n=9: "\n".join(mark + " ".join(text.split()[i : i + n]) for i in range(0, len(text.split()), n))
     gnu = {kind[0]: licenses._GNU.format(*kind[1:], ";", ";") for kind in licenses._GNU_KINDS}
