@@ -22,7 +22,7 @@ def raw_quotes(events: DataFrame) -> DataFrame:
     ticker = F.when(F.col("event_type") == "error", "null").otherwise(F.concat(F.lit('"T'), "user_id", F.lit('"')))
     price = (
         F.when(F.col("event_id") % 10 == 0, F.lit('"n/a"'))
-        .when(F.col("value") < 1, (-F.col("value")).cast("string"))
+        .when(F.col("value") < 1, (F.col("value") - 1).cast("string"))  # below 0 for a value of 0 too
         .otherwise(F.col("value").cast("string"))
     )
     k = F.get_json_object("props", "$.k")

@@ -103,3 +103,16 @@ def test_declared_references():
     assert all(m.product in PRODUCTS for m in METRICS.values())
     assert all(p.key in p.required and p.watermark in p.required for p in PRODUCTS.values())
     assert not any(set(p.required) & set(p.sensitive) for p in PRODUCTS.values())
+
+
+def test_every_derived_negative_price_is_refused(spark, rows):
+    """A value below 1 stands for a negative price; that of 0 must not turn into -0, which a minimum of 0 accepts."""
+    from siltstone.plans.queries.ingest import raw_quotes
+
+    events = spark.sql(
+        """SELECT id AS event_id, TIMESTAMP_NTZ'2024-01-02 03:04:05' AS ts, 7L AS user_id, 'view' AS event_type, value, '{"k": 4}' AS props
+        FROM VALUES (1L, 0.0D), (2L, 0.01D), (3L, 0.99D), (4L, 1.0D) AS t(id, value)"""
+    )
+    found = check(raw_quotes(events), QUOTES)
+    low = "constraint_violation:price"
+    assert rows(found, "event_id", contracts.REASON) == [(1, low), (2, low), (3, low), (4, None)]
