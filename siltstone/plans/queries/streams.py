@@ -125,8 +125,8 @@ def parts_of(rows: DataFrame, borders: list[str | None]) -> list[DataFrame]:
     return out
 
 
-# Verbs of each part of the decision stream; decisions of odd users are opened with the second part.
-_NOON, _MIDNIGHT = "2024-01-01 12:00:00", "2024-01-02 00:00:00"
+# Verbs of each part of the decision stream; decisions of odd users are opened with the second part, the others with the first.
+_START, _NOON, _MIDNIGHT = "2023-12-31 00:00:00", "2024-01-01 12:00:00", "2024-01-02 00:00:00"
 
 
 @register(
@@ -147,19 +147,19 @@ def stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     wait for them, and timers expire the decisions that nobody settled in time."""
     every = decisions(spark, sf_dir).withColumn("expires_at", F.col("expires_at").cast("timestamp")).select("decision_id", "action_type", "expires_at")
     later = F.substring("decision_id", 2, 20).cast("long") % 2 == 1
-    opened = every.where(later).withColumn("opened_at", F.lit(_NOON).cast("timestamp"))
+    opened = every.withColumn("opened_at", F.when(later, F.lit(_NOON)).otherwise(F.lit(_START)).cast("timestamp"))
     events = verbs(table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")))
     folder, openings, path, checkpoint = (work_path(spark, f"decisions-{name}") for name in ("verbs", "openings", "out", "checkpoint"))
-    opened.limit(0).write.parquet(openings)
+    opened.where(~later).write.parquet(openings)
     before = spark.conf.get(STATE_STORE)
     spark.conf.set(STATE_STORE, ROCKSDB)  # state with timers needs RocksDB
     try:
         for run, part in enumerate(parts_of(events, [_NOON, _MIDNIGHT, None])):
             part.write.mode("append").parquet(folder)
             if run == 1:
-                opened.write.mode("append").parquet(openings)
+                opened.where(later).write.mode("append").parquet(openings)
             settled = decision_stream(
-                spark.readStream.schema(events.schema).parquet(folder), every.where(~later), POLICY,
+                spark.readStream.schema(events.schema).parquet(folder), None, POLICY,
                 openings=spark.readStream.schema(opened.schema).parquet(openings),
             )
             append_stream(settled, path, checkpoint).awaitTermination()

@@ -6,7 +6,7 @@ from siltstone.operators import telemetry
 from siltstone.plans.declared import CONTRACTS
 from siltstone.sources.lake import read_bronze, read_dlq, read_ledger
 from siltstone.sources.topics import file_stream
-from siltstone.streaming.decisions import decision_stream
+from siltstone.streaming.decisions import DecisionProcessor, decision_stream
 from siltstone.streaming.ingest import append_stream, ingest_stream
 from siltstone.streaming.outbox import outbox_stream, read_outbox
 
@@ -130,6 +130,21 @@ def test_decisions_opened_on_the_stream_meet_verbs_that_came_before(spark, tmp_p
     }
 
 
+def test_rows_of_a_settled_decision_are_not_read():
+    class Held:
+        def get(self):
+            return ("act", 1, "approved", "a1", None, 0)
+
+    processor = DecisionProcessor(["act"])
+    processor.state = Held()
+
+    def rows():
+        raise AssertionError("a row was read")
+        yield
+
+    assert list(processor.handleInputRows(("d1",), rows(), None)) == []
+
+
 REQUEST = "idempotency_key string, n long, ts timestamp"
 
 
