@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -69,16 +69,17 @@ def word_kinds(train: DataFrame) -> DataFrame:
         size = 0
 
         def rows() -> pd.DataFrame:
-            return pd.DataFrame(
-                [(w.decode(), kind, n) for kind, count in seen.items() for w, n in count.items()], columns=["word", "kind", "n"]
-            )
+            words = [w.decode() for count in seen.values() for w in count]
+            kind = np.repeat(np.array(list(seen), np.int64), [len(count) for count in seen.values()])
+            n = np.fromiter(chain.from_iterable(count.values() for count in seen.values()), np.int64, len(words))
+            return pd.DataFrame({"word": words, "kind": kind, "n": n})
 
         for frame in frames:
             for text in frame["text"]:
                 words = words_of(text)
                 own = Counter(words)
                 most = max(own.values(), default=0)
-                kind = sum(max((w for w, n in own.items() if n == most), default=b"")) % KINDS
+                kind = sum(max([w for w, n in own.items() if n == most], default=b"")) % KINDS
                 into = seen[kind]
                 size -= len(into)
                 into.update(words)
@@ -252,7 +253,8 @@ class Model:
         for part in range(0, len(numbers), _BATCH):
             at = slice(part, part + _BATCH)
             slope = _slope(self.class_logits(rows[at]), classes[at])
-            self._step(self.outer, memory[0], *_row_sums(rows[at].ravel(), slope), slice(None))
+            touched, total = _row_sums(rows[at].ravel(), slope)
+            self._step(self.outer, memory[0], touched, total, np.take(self.outer, touched, axis=0), slice(None))
             order = np.argsort(classes[at].astype(np.uint8), kind="stable")
             ends = np.cumsum(np.bincount(classes[at], minlength=self.n_classes))
             for c, group in enumerate(self.lexicon.members):
@@ -262,20 +264,24 @@ class Model:
                     uses = np.bincount(inner_rows[own], minlength=_INNER_ROWS)
                     touched = np.flatnonzero(uses)
                     place = np.cumsum(uses > 0) - 1
-                    logits = self.inner_logits(c, touched)
+                    columns = slice(self.starts[c], self.starts[c + 1])
+                    held = self.within[touched, columns]
+                    logits = held + self.unigram[columns]
                     logits -= logits.max(axis=1, keepdims=True)
                     total = np.exp(logits, out=logits)
                     total *= (uses[touched] / total.sum(axis=1))[:, None].astype(np.float32)
                     spots = place[inner_rows[own]] * len(group) + self.lexicon.inner[numbers[own]]
-                    total -= np.bincount(spots, minlength=total.size).reshape(total.shape).astype(np.float32)
-                    self._step(self.within, memory[1], touched, total, slice(self.starts[c], self.starts[c + 1]))
+                    np.subtract.at(total.reshape(-1), spots, np.float32(1))
+                    self._step(self.within, memory[1], touched, total, held, columns)
 
     @staticmethod
-    def _step(weights: np.ndarray, memory: np.ndarray, rows: np.ndarray, total: np.ndarray, columns: slice) -> None:
-        """One adaptive step of distinct rows against the sums of their slopes."""
-        memory[rows] += np.einsum("ij,ij->i", total, total) / total.shape[1]
-        total *= (_RATE / np.sqrt(memory[rows] + 1.0))[:, None]
-        weights[rows, columns] -= total
+    def _step(weights: np.ndarray, memory: np.ndarray, rows: np.ndarray, total: np.ndarray, held: np.ndarray, columns: slice) -> None:
+        """One adaptive step of distinct rows, ``held`` as they are now, against the sums of their slopes."""
+        seen = memory[rows] + np.einsum("ij,ij->i", total, total) / total.shape[1]
+        memory[rows] = seen
+        total *= (_RATE / np.sqrt(seen + 1.0))[:, None]
+        held -= total
+        weights[rows, columns] = held
 
 
 def _row_sums(rows: np.ndarray, slope: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
