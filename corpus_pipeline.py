@@ -95,7 +95,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document that is left, and whether they decode to its text."""
     ranks = public_tokenizers.path(BYTE_RANKS)
-    ids = encode(docs, ranks, public_tokenizers.PATTERN)
+    # stored first, so that a core runs one Python worker at a time, not one that encodes beside one that decodes
+    ids = stored(encode(docs, ranks, public_tokenizers.PATTERN), "pipeline-ids")
     return ids.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

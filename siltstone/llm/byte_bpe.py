@@ -5,7 +5,7 @@ merges over it: each step merges the leftmost pair of least rank, found in a lit
 
 Words are counted over the whole corpus, and the most frequent ones (at most ``table_words``, so
 the table has a proven size) are folded once in Spark. Words outside the table are folded by the same
-rule in the task that meets them, once per worker's memory: measured, the Spark fold takes about
+rule in the task that meets them, once per task's memory: measured, the Spark fold takes about
 170 microseconds a word, the task's own about 12, and half of all distinct words occur once. The
 result does not depend on the size of the table. Decoding concatenates the pieces' bytes.
 
@@ -18,7 +18,6 @@ from __future__ import annotations
 import base64
 import json
 import re
-import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -38,7 +37,7 @@ TABLE_WORD_BYTES = 64
 _SLOTS = 524_287
 _HASHES = ((31_337, 7), (11, 50_021))
 _FLUSH = 200_000
-# Words outside the table that a worker remembers.
+# Words outside the table that a task remembers.
 _REMEMBERED = 300_000
 
 
@@ -216,7 +215,7 @@ def frequent_words(counts: DataFrame, most: int = TABLE_WORDS) -> DataFrame:
 
 
 class _Words(dict):
-    """Word numbers: the shared table's first, then those of the words folded by this worker."""
+    """Word numbers: the shared table's first, then those of the words folded by this task."""
 
     def __init__(self, table: tuple, path: str) -> None:
         words, self.table_sizes, self.table_flat = table
@@ -267,9 +266,6 @@ class _Words(dict):
         return _lists(ends, pa.array(np.concatenate(out)))
 
 
-_WORDS: dict[str, _Words] = {}
-
-
 def _lists(ends, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.asarray(ends, np.int32)), values)
 
@@ -296,13 +292,10 @@ def encode(
     lists = rows["ids"].combine_chunks()
     sizes, flat = np.diff(np.asarray(lists.offsets)), np.asarray(lists.flatten()).astype(np.int32)
     shared = df.sparkSession.sparkContext.broadcast((rows["word"].combine_chunks(), sizes, flat))
-    own = uuid.uuid4().hex  # a worker that outlives its task keeps the words of this call
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if own not in _WORDS:
-            _WORDS.clear()
-            _WORDS[own] = _Words(shared.value, ranks_path)
-        words, split = _WORDS[own], splitter(pattern)
+        # the task's own: a worker that outlives its task, idle or at work for other operators, holds no words
+        words, split = _Words(shared.value, ranks_path), splitter(pattern)
         for batch in batches:
             for part in range(0, len(batch), 256):
                 rows = batch.slice(part, 256)

@@ -38,6 +38,8 @@ SAMPLED = 128
 BUCKET = 256
 MORE_LEVELS = 1
 BLOCK = 256
+# Rows that meet all coordinates at once: half a megabyte, so that steps stay in a core's cache and a worker stays small.
+_PART = 512
 
 _WORD = re.compile(r"\w+")
 _U = np.uint64
@@ -72,8 +74,8 @@ def sketch(tokens: np.ndarray) -> np.ndarray:
     """For each sampled coordinate, 16 bits of the least hash over the set: a chance match only adds a meeting."""
     least = np.full(SAMPLED, np.iinfo(np.uint64).max, np.uint64)
     with np.errstate(over="ignore"):
-        for part in range(0, len(tokens), 4096):
-            own = tokens[part : part + 4096, None] * _SALTS[None, :]
+        for part in range(0, len(tokens), _PART):
+            own = tokens[part : part + _PART, None] * _SALTS[None, :]
             least = np.minimum(least, (own ^ (own >> _U(29))).min(axis=0))
         return (_mix(least) >> _U(48)).astype(np.uint16)
 
@@ -115,8 +117,8 @@ def follow(paths: np.ndarray, owners: np.ndarray, sketches: np.ndarray, threshol
     """One level down: (paths, owners) of the children that the nodes' hashes choose."""
     border = _U(int(2.0**64 / (threshold * SAMPLED)))
     out_paths, out_owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for part in range(0, len(paths), 20_000):
-        own, who = paths[part : part + 20_000], owners[part : part + 20_000]
+    for part in range(0, len(paths), _PART):
+        own, who = paths[part : part + _PART], owners[part : part + _PART]
         with np.errstate(over="ignore"):
             node = _mix(own[:, None] + _SALTS[None, :])
             row, coordinate = np.nonzero(node < border)

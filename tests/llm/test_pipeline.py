@@ -73,6 +73,12 @@ def test_whole_chain(spark, docs):
     }
 
 
+def test_texts_are_encoded_before_ids_are_decoded(spark, docs):
+    coded = dict(corpus_pipeline.STAGES)["byte_bpe"](spark, docs, SF)
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan  # else each core runs two workers at once
+
+
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_stages_take_empty_tables(spark, docs, name):
     assert dict(corpus_pipeline.STAGES)[name](spark, docs.where("false"), SF).count() == 0
