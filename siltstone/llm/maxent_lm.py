@@ -10,7 +10,8 @@ Counts cover every training row and are joined, not collected; only a table of f
 bounded size goes to the tasks. The model is trained in rounds of distributed updates: each task
 passes over its rows from the same weights with sparse adaptive gradient steps, and the changes of
 each weight row are averaged over the tasks that touched it. All rows of a fold are used once.
-Scoring is one pass of sparse numpy batches.
+Texts are split into words once for the counts and once into stored word numbers, which training and
+scoring read. Scoring is one pass of sparse numpy batches.
 
 Tokens are words between ``[\\x20\\x09-\\x0D]`` with A-Z lower-cased, then one end. NULL and empty
 texts have the end only. Rows that repeat count and are scored one by one; NULL ids are hashed as
@@ -325,8 +326,43 @@ def _slices(frame: pd.DataFrame, rows: int = 64) -> Iterator[pd.DataFrame]:
         yield frame.iloc[part : part + rows]
 
 
-def train_model(train: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
-    """``rounds`` distributed updates, each over its own fold of the training rows (text, spot)."""
+def numbered(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """(row, doc_id, held_out, spot, numbers, rest): the word numbers of each text in 32 bits each, and its words outside the table."""
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon.words)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number = {w: i for i, w in enumerate(shared.value)}
+        row = TaskContext.get().partitionId() << 33
+        for whole in frames:
+            for frame in _slices(whole):
+                numbers, _, rest, sizes = _numbers(frame, number)
+                each = np.split(numbers.astype(np.int32), np.cumsum(sizes)[:-1])
+                yield frame[["doc_id", "held_out", "spot"]].assign(
+                    row=np.arange(row, row + len(frame)),
+                    numbers=pd.Series([x.tobytes() for x in each], index=frame.index, dtype=object),
+                    rest=pd.Series([[w.decode() for w in x] for x in rest], index=frame.index, dtype=object),
+                )
+                row += len(frame)
+
+    rows = docs.withColumn("spot", F.xxhash64("doc_id")).select("doc_id", "held_out", "spot", "text")
+    return stored(rows.mapInPandas(run, f"doc_id {kind}, held_out boolean, spot long, row long, numbers binary, rest array<string>"), "lm-numbers")
+
+
+def _stored_numbers(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers of all texts in a row, and where each text starts."""
+    sizes = np.fromiter(map(len, frame["numbers"]), np.int64, len(frame)) // 4
+    return np.frombuffer(b"".join(frame["numbers"]), np.int32).astype(np.int64), np.cumsum(sizes) - sizes
+
+
+def _marks(first: np.ndarray, size: int) -> np.ndarray:
+    starts = np.zeros(size, bool)
+    starts[first] = True
+    return starts
+
+
+def train_model(train: DataFrame, model: Model, tasks: int, rounds: int = ROUNDS) -> Model:
+    """``rounds`` distributed updates by ``tasks`` tasks, each over its own fold of the training rows (numbers, spot)."""
     context = train.sparkSession.sparkContext
     parts = (("outer", model.outer), ("within", model.within))
     for fold in range(rounds if model.lexicon.model_words else 0):
@@ -337,11 +373,10 @@ def train_model(train: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
             own = Model(start.lexicon)
             own.outer, own.within = start.outer.copy(), start.within.copy()
             memory = (np.zeros(len(own.outer), np.float32), np.zeros(len(own.within), np.float32))
-            number = {w: i for i, w in enumerate(own.lexicon.words)}
             for whole in frames:
                 for frame in _slices(whole):
-                    numbers, starts, _, _ = _numbers(frame, number)
-                    own.train(numbers, starts, memory)
+                    numbers, first = _stored_numbers(frame)
+                    own.train(numbers, _marks(first, len(numbers)), memory)
             salt, out = TaskContext.get().partitionId() % 32, []
             for name, old, new, seen in (("outer", start.outer, own.outer, memory[0]), ("within", start.within, own.within, memory[1])):
                 for block in range(0, len(old), _BLOCK_ROWS):
@@ -363,8 +398,7 @@ def train_model(train: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
             )
 
         schema = "name string, block long, salt long, summed boolean, change binary, touched binary"
-        own = train.where(F.pmod("spot", F.lit(rounds)) == fold).select("text")
-        tasks = max(1, own.rdd.getNumPartitions() // _SPLITS_PER_UPDATE)
+        own = train.where(F.pmod("spot", F.lit(rounds)) == fold).select("numbers")
         changes = own.coalesce(tasks).mapInPandas(update, schema)
         some = changes.groupBy("name", "block", "salt").applyInPandas(add, schema)
         for r in some.groupBy("name", "block", "salt").applyInPandas(add, schema).collect():  # as large as the model
@@ -375,40 +409,32 @@ def train_model(train: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     return model
 
 
-def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
-    """Per row of (doc_id, text, held_out): token counts, the base score and the model's, in log10."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def score(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+    """Per row of ``numbered``: token counts, the base score and the model's, in log10."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
     lexicon = model.lexicon
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = shared.value
-        number = {w: i for i, w in enumerate(own.lexicon.words)}
         base = np.log10(np.concatenate([own.lexicon.counts, [0.0]]) + 0.5)
         table = own.inner_table()
-        row = TaskContext.get().partitionId() << 33
         for whole in frames:
             for frame in _slices(whole):
-                numbers, starts, rest, sizes = _numbers(frame, number)
-                first = np.flatnonzero(starts)
+                numbers, first = _stored_numbers(frame)
                 known = numbers >= 0
-                logs = own.log_probabilities(numbers, starts, table) / np.log(10)
+                logs = own.log_probabilities(numbers, _marks(first, len(numbers)), table) / np.log(10)
                 bases = np.where(known, base[numbers], 0.0)
-                yield pd.DataFrame(
-                    {
-                        "row": np.arange(row, row + len(frame)), "doc_id": frame["doc_id"].to_numpy(), "held_out": frame["held_out"].to_numpy(),
-                        "n_tokens": sizes, "n_table": np.add.reduceat(known.astype(np.int64), first),
-                        "base": np.add.reduceat(bases, first), "model": np.add.reduceat(logs, first),
-                        "rest": pd.Series([[w.decode() for w in x] for x in rest], dtype=object),
-                        "ends": (~known[first + sizes - 1]).astype(np.int64),
-                    }
+                sizes = np.diff(first, append=len(numbers))
+                yield frame[["row", "doc_id", "held_out"]].assign(
+                    n_tokens=sizes, n_table=np.add.reduceat(known.astype(np.int64), first), base=np.add.reduceat(bases, first),
+                    model=np.add.reduceat(logs, first), ends=(~known[first + sizes - 1]).astype(np.int64),
                 )
-                row += len(frame)
 
-    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_table long, base double, model double, rest array<string>, ends long"
-    scored = stored(docs.mapInPandas(run, schema), "lm-scored")
+    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_table long, base double, model double, ends long"
+    scored = rows.select("row", "doc_id", "held_out", "numbers").mapInPandas(run, schema)
     # words outside the table meet their counts in a join; an unknown word and an unseen end count 0
-    outside = scored.select("row", F.explode("rest").alias("word"))
+    outside = rows.select("row", F.explode("rest").alias("word"))
     found = outside.join(counts, "word", "left").groupBy("row").agg(
         F.sum((F.col("n") > 0).cast("long")).alias("more_known"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"), F.count(F.lit(1)).alias("n_rest")
     )
@@ -430,8 +456,9 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
 def language_model(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``df``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     docs = held_out(id_and_text(df, key, text))
-    train = docs.where("not held_out").select("text", F.xxhash64("doc_id").alias("spot"))
-    kinds = stored(word_kinds(train), "lm-kinds")
+    kinds = stored(word_kinds(docs.where("not held_out")), "lm-kinds")
     counts = stored(kinds.groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
-    model = train_model(train, Model(build_lexicon(kinds, counts)))
-    return score(docs, model, counts)
+    model = Model(build_lexicon(kinds, counts))
+    rows = numbered(docs, model.lexicon)
+    tasks = max(1, docs.rdd.getNumPartitions() // _SPLITS_PER_UPDATE)
+    return score(rows, train_model(rows.where("not held_out"), model, tasks), counts)

@@ -191,6 +191,16 @@ def test_language_model_base_and_probabilities(docs, empty):
     assert maxent_lm.language_model(empty).count() == 0
 
 
+def test_language_model_scores_from_stored_word_numbers(docs):
+    lexicon = maxent_lm.Lexicon([b"\n", b"the"], np.array([2.0, 1.0]), 3, 2, np.zeros(0, int), np.zeros(0, int), [])
+    rows = maxent_lm.numbered(maxent_lm.held_out(maxent_lm.id_and_text(docs, "doc_id", "text")), lexicon)
+    expected = sorted(([*((1 if w == b"the" else -1) for w in maxent_lm.words_of(t or "")), 0]) for _, t in TEXTS)
+    assert sorted(np.frombuffer(r.numbers, np.int32).tolist() for r in rows.collect()) == expected
+    assert sorted(len(r.rest) for r in rows.collect()) == sorted(x.count(-1) for x in expected)
+    scored = maxent_lm.language_model(docs)
+    assert "text" not in scored._jdf.queryExecution().optimizedPlan().toString()  # texts are not split into words again
+
+
 def test_language_model_is_a_distribution():
     words = [maxent_lm.END.encode(), *(f"w{i}".encode() for i in range(9))]
     counts = np.arange(20, 10, -1).astype(float)
