@@ -285,9 +285,13 @@ def word_table(df: DataFrame, ranks_path: str, pattern: str, text: str = "text",
 
 
 def encode(
-    df: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text", table_words: int = TABLE_WORDS
+    df: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text", table_words: int = TABLE_WORDS, decoded: bool = False
 ) -> DataFrame:
-    """One row per row of ``df``: doc_id, ids (array of int), the token ids of the whole text."""
+    """One row per row of ``df``: doc_id, ids (array of int), the token ids of the whole text.
+
+    ``decoded`` adds the bytes that these ids decode to, made by the same Python worker: ``decode`` beside
+    ``encode`` in one stage runs two workers per core.
+    """
     rows = word_table(df, ranks_path, pattern, text, table_words).toArrow()  # at most ``table_words`` short words
     lists = rows["ids"].combine_chunks()
     sizes, flat = np.diff(np.asarray(lists.offsets)), np.asarray(lists.flatten()).astype(np.int32)
@@ -302,11 +306,13 @@ def encode(
                 if len(words.sizes) > _REMEMBERED:
                     words.restart()
                 numbers = [np.array(list(map(words.__getitem__, split(t))), np.int64) for t in rows["text"].to_pylist()]
-                yield pa.RecordBatch.from_arrays([rows["doc_id"], words.ids(numbers)], ["doc_id", "ids"])
+                ids = words.ids(numbers)
+                columns = {"doc_id": rows["doc_id"], "ids": ids} | ({"decoded": _decoded(ids, ranks_path)} if decoded else {})
+                yield pa.RecordBatch.from_pydict(columns)
 
     pair = id_and_text(df, key, text)
     kind = pair.schema["doc_id"].dataType.simpleString()
-    return pair.mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return pair.mapInArrow(run, f"doc_id {kind}, ids array<int>" + (", decoded binary" if decoded else ""))
 
 
 def decode(ids: Column, ranks_path: str) -> Column:
@@ -314,12 +320,16 @@ def decode(ids: Column, ranks_path: str) -> Column:
 
     @F.arrow_udf("binary")
     def concatenated(lists: pa.Array) -> pa.Array:
-        pieces = _pieces(ranks_path)
-        return pa.array([b"".join(map(pieces.__getitem__, x.values.to_numpy().tolist())) for x in lists], pa.binary())
+        return _decoded(lists, ranks_path)
 
     return concatenated(F.coalesce(ids, F.array().cast("array<int>")))
 
 
+def _decoded(lists: pa.Array, path: str) -> pa.Array:
+    pieces = _pieces(path)
+    return pa.array([b"".join(map(pieces.__getitem__, x.values.to_numpy().tolist())) for x in lists], pa.binary())
+
+
 @lru_cache(maxsize=4)
 def _pieces(path: str) -> dict[int, bytes]:
     return {rank: piece for piece, rank in load_ranks(path).items()}

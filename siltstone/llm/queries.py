@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import licenses
-from siltstone.llm.byte_bpe import decode, encode
+from siltstone.llm.byte_bpe import encode
 from siltstone.llm.chosen_path import jaccard_join
 from siltstone.llm.collocations import collocations, collocations_sql
 from siltstone.llm.compression_quality import compression_quality
@@ -45,12 +45,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(BYTE_RANKS)
-    encoded = encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    encoded = encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, decoded=True)
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -1,5 +1,6 @@
 """Training-data operators on small fixtures, against brute force, the libraries and DuckDB."""
 
+import hashlib
 import math
 import zlib
 from collections import Counter
@@ -13,8 +14,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from siltstone.llm import byte_bpe, chosen_path, decontaminate, exact_dedup, html_consensus, licenses, line_dedup, maxent_lm, token_counts, toxicity
-from siltstone.llm.queries import SQL, op2_license_scan, op8_exact_dedup, op9_line_dedup
-from tests_support import same_result
+from siltstone.llm.queries import SQL, op2_license_scan, op3_byte_bpe, op8_exact_dedup, op9_line_dedup
+from tests_support import SF, same_result
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -95,6 +96,22 @@ def test_byte_bpe_equals_the_library_and_round_trips(docs, empty):
     assert byte_bpe.encode(empty, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_the_worker_that_encodes_decodes_too(spark, docs):
+    ranks = byte_bpe.load_ranks(RANKS)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rows = byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN, table_words=2, decoded=True).collect()
+    assert sorted((list(r.ids), bytes(r.decoded)) for r in rows) == sorted((library.encode_ordinary(t or ""), (t or "").encode()) for _, t in TEXTS)
+    coded = op3_byte_bpe(spark, SF)
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan  # else each core runs two workers at once
+    expected = {
+        (r.doc_id, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode_bytes(ids)).hexdigest())
+        for r in spark.read.parquet(f"{SF}/documents.parquet").collect()
+        for ids in [library.encode_ordinary(r.text or "")]
+    }
+    assert {tuple(r) for r in coded.collect()} == expected
+
+
 def test_reordered_passages_are_found(spark, docs, empty):
     item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
     words = item.split()
